@@ -128,6 +128,11 @@ class PeriodRange:
         lo, hi = self.bounds()
         return (ts < lo) | (ts >= hi)
 
+    def covers(self, year: str, month: str) -> Column:
+        """Whether a (year, month) pair is in the range; on partition columns it prunes."""
+        ordinal = F.col(year) * 12 + F.col(month)
+        return ordinal.between(*[y * 12 + m for y, m in (self.first, self.last)])
+
 
 # --- fixed values: code descriptions and labels of the published trip-record dictionary ---
 VENDOR_CODES = CodeMap(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from faremill.contracts import MONTH_LABELS, CodeMap
+from faremill.functions.text import sql_text
 
 # --- fixed values: parts of the day, as (first hour, label) ---
 DAYPARTS = (
@@ -18,22 +19,25 @@ DAYPARTS = (
 # --- end of fixed values ---
 
 
+def _case(value: str, texts: Mapping[int, str], otherwise: str = "NULL") -> Column:
+    """`CASE value WHEN … END`, parsed in one go rather than built arm by arm."""
+    arms = " ".join(f"WHEN {k} THEN {sql_text(v)}" for k, v in texts.items())
+    return F.expr(f"CASE {value} {arms} ELSE {otherwise} END")
+
+
 def decode(codes: CodeMap, numbered: bool = False) -> Column:
     """Description of a code; unknown codes get the fallback text, NULL stays NULL.
 
     With `numbered`, known codes read "4 - Dispute" instead of "Dispute".
     """
-    code = F.col(codes.code_col)
     texts = {k: f"{k} - {v}" if numbered else v for k, v in codes.entries.items()}
-    (first, text), *rest = texts.items()
-    known = reduce(lambda c, kv: c.when(code == kv[0], kv[1]), rest, F.when(code == first, text))
-    return known.otherwise(F.concat(F.lit(codes.unknown_prefix), code.cast("string")))
+    code = f"`{codes.code_col}`"
+    return _case(code, texts, otherwise=f"concat({sql_text(codes.unknown_prefix)}, CAST({code} AS STRING))")
 
 
-def month_label(month: Column) -> Column:
-    """Short month name; months without a label give NULL."""
-    (first, text), *rest = MONTH_LABELS.items()
-    return reduce(lambda c, kv: c.when(month == kv[0], kv[1]), rest, F.when(month == first, text))
+def month_label(month: str) -> Column:
+    """Short name of the month in column `month`; months without a label give NULL."""
+    return _case(f"`{month}`", MONTH_LABELS)
 
 
 def money_label(amount: Column, digits: int, suffix: str = "") -> Column:
@@ -51,9 +55,11 @@ def hour_label(hour: int) -> str:
 
 def daypart(hour: Column) -> Column:
     """Part of the day an hour belongs to."""
-    late_first = sorted(DAYPARTS, reverse=True)
-    (start, text), *rest = late_first
-    return reduce(lambda c, sv: c.when(hour >= sv[0], sv[1]), rest, F.when(hour >= start, text))
+    (start, text), *earlier = sorted(DAYPARTS, reverse=True)
+    part = F.when(hour >= start, text)
+    for start, text in earlier:
+        part = part.when(hour >= start, text)
+    return part
 
 
 def share(part: Column, whole: Column, digits: int) -> Column:

@@ -67,7 +67,7 @@ def revenue_report(df: DataFrame) -> DataFrame:
     """Formatted monthly revenue and ticket, with the period's means as the last row."""
     monthly = _monthly(df)
     detail = monthly.select(
-        month_label(F.col("month")).alias("mes"),
+        month_label("month").alias("mes"),
         money_label(F.col("total") / 1_000_000, 1, "M").alias("receita_total"),
         money_label(F.col("avg_ticket"), 2).alias("ticket_medio"),
         F.lit(0).alias("sort_group"),

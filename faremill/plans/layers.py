@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,25 +82,34 @@ class LakehouseConfig:
     write_mode: str = "overwrite"
     provider: str | None = None
     schema_location: str | None = None
-    window: PeriodRange = field(default=None)
+    window: PeriodRange | None = None
+    # Silver and gold overwrite only the months in the window. A record's key fixes its month,
+    # so repeats never straddle two of them, and a month can be rebuilt by itself.
+    replace_partitions: bool = False
 
-    def __post_init__(self) -> None:
-        if self.window is None:
-            object.__setattr__(self, "window", self.zone.window())
+    @property
+    def valid(self) -> PeriodRange:
+        """The window of valid pickups: the configured one, or the landing zone's months."""
+        return self.window or self.zone.window()
 
     def table(self, name: str) -> str:
         return f"{self.schema}.{name}"
 
 
-def build_bronze(spark: SparkSession, cfg: LakehouseConfig, ingested_at: Column | None = None) -> None:
-    """Landing zone to bronze table. The plan is scan, cast, write: no shuffle."""
+def build_bronze(
+    spark: SparkSession, cfg: LakehouseConfig, ingested_at: Column | None = None, mode: str | None = None
+) -> None:
+    """Landing zone to bronze table. The plan is scan, cast, write: no shuffle.
+
+    With `mode="append"` a later landing zone, such as resent records, joins the earlier ones.
+    """
     create_schema(spark, cfg.schema, cfg.schema_location)
     write_table(
         bronze(spark, cfg.zone, cfg.contract, ingested_at),
         cfg.table(cfg.bronze_name),
         cfg.contract,
         BRONZE_COMMENT,
-        mode=cfg.write_mode,
+        mode=mode or cfg.write_mode,
         provider=cfg.provider,
     )
 
@@ -113,7 +122,7 @@ def build_silver(spark: SparkSession, cfg: LakehouseConfig) -> None:
     small file into every month.
     """
     write_table(
-        silver(spark.table(cfg.table(cfg.bronze_name)), cfg.window, cfg.key, cfg.order),
+        silver(spark.table(cfg.table(cfg.bronze_name)), cfg.valid, cfg.key, cfg.order),
         cfg.table(cfg.silver_name),
         cfg.contract,
         SILVER_COMMENT,
@@ -121,19 +130,24 @@ def build_silver(spark: SparkSession, cfg: LakehouseConfig) -> None:
         partition_by=PARTITIONS,
         provider=cfg.provider,
         rebalance=True,
+        replace_partitions=cfg.replace_partitions,
     )
 
 
 def build_gold(spark: SparkSession, cfg: LakehouseConfig) -> None:
     """Silver table to gold table, row by row: the files keep silver's months, so no shuffle."""
+    source = spark.table(cfg.table(cfg.silver_name))
+    if cfg.replace_partitions:
+        source = source.filter(cfg.valid.covers("year", "month"))
     write_table(
-        gold(spark.table(cfg.table(cfg.silver_name)), code_maps=cfg.code_maps),
+        gold(source, code_maps=cfg.code_maps),
         cfg.table(cfg.gold_name),
         cfg.contract,
         GOLD_COMMENT,
         mode=cfg.write_mode,
         partition_by=PARTITIONS,
         provider=cfg.provider,
+        replace_partitions=cfg.replace_partitions,
     )
 
 

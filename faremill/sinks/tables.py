@@ -5,23 +5,39 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from faremill.contracts import TableContract
-
-
-def _sql_text(text: str) -> str:
-    """A SQL string literal holding exactly `text`."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+from faremill.errors import SchemaDriftError
+from faremill.functions.text import sql_text
 
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the schema if it isn't there; `location` puts its tables below a folder of choice."""
-    where = f" LOCATION {_sql_text(location)}" if location else ""
+    where = f" LOCATION {sql_text(location)}" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{where}")
 
 
 def comment_on_table(spark: SparkSession, table: str, comment: str) -> None:
-    spark.sql(f"COMMENT ON TABLE {table} IS {_sql_text(comment)}")
+    spark.sql(f"COMMENT ON TABLE {table} IS {sql_text(comment)}")
+
+
+def _aligned(df: DataFrame, table: str) -> DataFrame:
+    """`df` with the table's columns in the table's order; columns it lacks are NULL.
+
+    A column the table lacks is an error by name: appending would have to drop its values.
+    """
+    fields = df.sparkSession.table(table).schema.fields
+    known, have = {f.name.lower() for f in fields}, {c.lower() for c in df.columns}
+    new = [c for c in df.columns if c.lower() not in known]
+    if new:
+        raise SchemaDriftError(f"table {table} has no columns {new}")
+    return df.select(
+        *[
+            F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in fields
+        ]
+    )
 
 
 def write_table(
@@ -49,10 +65,11 @@ def write_table(
     out = contract.describe(df)
     if rebalance and partition_by:
         out = out.hint("rebalance", *partition_by)
-    if replace_partitions and spark.catalog.tableExists(table):
-        columns = spark.table(table).columns
-        writer = out.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(table)
+    exists = spark.catalog.tableExists(table)
+    if exists and replace_partitions:
+        _aligned(out, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    elif exists and mode == "append":
+        _aligned(out, table).write.insertInto(table)
     else:
         writer = out.write.mode(mode)
         if provider:

@@ -253,12 +253,9 @@ def _column_dictionary() -> str:
             f"SELECT '{name}' AS column_name, '{type_name}' AS type_name, '{comment}' AS comment, "
             f"count({name}) AS values_present FROM gold"
         )
-    return _with(_FIRST_BATCH_GOLD, "\nUNION ALL\n".join(rows))
+    return _with(GOLD, "\nUNION ALL\n".join(rows))
 
 
-# Gold made of the first batch alone, as the table queries build it.
-_FIRST_BATCH_GOLD = GOLD.replace(f"ORDER BY {ORDER}) AS rn FROM trips)", f"ORDER BY {ORDER}) AS rn FROM sent)")
-
 _LANDED_COLUMNS = f"{LANDED}, {IDS}, cbd_fee"
 
 ORACLES: dict[str, str] = {
@@ -490,10 +487,8 @@ positive AS (SELECT year, month, round(sum(total_amount), 2) AS amount_without_c
         f"SELECT {_LANDED_COLUMNS}, source_file_path, etl_ingestion_timestamp FROM landed UNION ALL "
         f"SELECT {_LANDED_COLUMNS}, source_file_path, etl_ingestion_timestamp FROM landed_again",
     ),
-    "sink_roundtrip": _with(
-        LANDING, f"SELECT {_LANDED_COLUMNS}, source_file_path, etl_ingestion_timestamp FROM landed"
-    ),
-    "partitioned_roundtrip": _with(_FIRST_BATCH_GOLD, "SELECT * FROM gold"),
+    "partitioned_roundtrip": _with(GOLD, "SELECT * FROM gold"),
     "column_dictionary": _column_dictionary(),
 }
 ORACLES["chargeback_impact_one_pass"] = ORACLES["chargeback_impact"]
+ORACLES["sink_roundtrip"] = ORACLES["bronze_build"]

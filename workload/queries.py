@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -121,7 +122,7 @@ def money_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def month_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     calendar = ops.derive_calendar(trips(spark, sf_dir))
     by_month = calendar.groupBy("month").agg(F.count("*").alias("trips"))
-    return by_month.select("month", month_label(F.col("month")).alias("mes"), "trips")
+    return by_month.select("month", month_label("month").alias("mes"), "trips")
 
 
 # --- profiles ---
@@ -254,13 +255,15 @@ def bronze_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lakehouse(spark: SparkSession, sf_dir: str) -> plans.LakehouseConfig:
-    """A new schema in the shared folder, with the first batch written to bronze."""
-    zone = landing_zone(land(spark, sf_dir))
+    """A new schema in the shared folder, with both batches in bronze: one written, one appended."""
+    root = land(spark, sf_dir)
     name = f"faremill_{uuid.uuid4().hex}"
     cfg = plans.LakehouseConfig(
-        zone, schema=name, schema_location=f"{scratch(spark)}/{name}", order=ORDER, window=WINDOW
+        landing_zone(root), schema=name, schema_location=f"{scratch(spark)}/{name}", order=ORDER, window=WINDOW
     )
     plans.build_bronze(spark, cfg, F.lit(INGESTED[1]).cast("timestamp_ntz"))
+    again = replace(cfg, zone=resent_zone(root))
+    plans.build_bronze(spark, again, F.lit(INGESTED[2]).cast("timestamp_ntz"), mode="append")
     return cfg
 
 
