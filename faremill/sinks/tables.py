@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,17 @@ def comment_on_table(spark: SparkSession, table: str, comment: str) -> None:
     spark.sql(f"COMMENT ON TABLE {table} IS {sql_text(comment)}")
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the length of one write; `insertInto` doesn't take it as an option."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _aligned(df: DataFrame, table: str) -> DataFrame:
     """`df` with the table's columns in the table's order; columns it lacks are NULL.
 
@@ -67,7 +79,8 @@ def write_table(
         out = out.hint("rebalance", *partition_by)
     exists = spark.catalog.tableExists(table)
     if exists and replace_partitions:
-        _aligned(out, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            _aligned(out, table).write.mode("overwrite").insertInto(table)
     elif exists and mode == "append":
         _aligned(out, table).write.insertInto(table)
     else:
