@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from faremill.contracts import DEDUP_KEY
 from faremill.functions.labels import share
@@ -32,7 +33,11 @@ def survivor_order(
 
 
 def _numbered(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    window = Window.partitionBy(*key).orderBy(*order)
+    # The sort compares rows by an eight-byte prefix of its leading column and opens the rows
+    # only on a tie. Times differ from row to row, codes hardly do, so times lead.
+    times = (TimestampType, TimestampNTZType)
+    leading = sorted(key, key=lambda c: not isinstance(df.schema[c].dataType, times))
+    window = Window.partitionBy(*leading).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(window))
 
 
@@ -74,14 +79,17 @@ def duplicate_examples(
 ) -> DataFrame:
     """The first `n` repeats by key and rank, with the columns of `show`.
 
-    Ranks 2 to n+1 of a key all precede its later ones, so no later rank can be among the
-    first n. Saying so lets Spark cut each key to n+1 rows before the shuffle.
+    Every repeated key has at least one repeat, so all of them lie in the first n repeated
+    keys, and within a key at ranks 2 to n+1. A hash aggregate finds those keys; being n rows,
+    they are broadcast, and only their rows are ranked, at most n+1 per key and task.
     """
     order = survivor_order(df, key) if order is None else order
-    repeats = _numbered(df, key, order).filter((F.col("_rn") > 1) & (F.col("_rn") <= n + 1))
-    return (
-        repeats.select(*key, F.col("_rn").alias("occurrence"), *show).orderBy(*key, "occurrence").limit(n)
-    )
+    repeated = df.groupBy(*key).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    wanted = repeated.orderBy(*key).limit(n).select(*[F.col(c).alias(f"_first_{c}") for c in key])
+    same_key = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in key])
+    rows = df.join(F.broadcast(wanted), same_key, "left_semi")
+    repeats = _numbered(rows, key, order).filter((F.col("_rn") > 1) & (F.col("_rn") <= n + 1))
+    return repeats.select(*key, F.col("_rn").alias("occurrence"), *show).orderBy(*key, "occurrence").limit(n)
 
 
 def in_time_order(pickup: str = PICKUP, dropoff: str = DROPOFF) -> Column:

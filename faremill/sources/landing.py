@@ -104,8 +104,10 @@ def conform(df: DataFrame, contract: TableContract, unknown: str = "keep") -> Da
 
 def _with_source(df: DataFrame) -> DataFrame:
     """Add the landed path each row came from, without Spark's part-file name if it is a directory."""
-    path = F.regexp_replace(F.col("_metadata.file_path"), "/part-[^/]*$", "")
-    return df.select("*", path.alias(SOURCE_COL))
+    path = F.col("_metadata.file_path")
+    file = F.substring_index(path, "/", -1)
+    folder = F.left(path, F.length(path) - F.length(file) - 1)
+    return df.select("*", F.when(file.startswith("part-"), folder).otherwise(path).alias(SOURCE_COL))
 
 
 def read_landed(

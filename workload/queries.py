@@ -189,7 +189,7 @@ EXTRA = (*RECORD_ID, "l_linenumber", "cbd_fee")
 
 def file_name() -> Column:
     """Batch, kind and file of a source path."""
-    return F.regexp_extract("source_file_path", "[^/]+/[^/]+/[^/]+$", 0)
+    return F.substring_index("source_file_path", "/", -3)
 
 
 def scan_periods_query(spark: SparkSession, sf_dir: str) -> DataFrame:
