@@ -8,7 +8,7 @@ from faremill.operators.clean import (
     survivor_order,
     time_travel,
 )
-from faremill.operators.enrich import decode_codes, project
+from faremill.operators.enrich import decode_codes, preview, project
 from faremill.operators.profile import (
     anomaly_counts,
     avg_zero_impact,
@@ -52,6 +52,7 @@ __all__ = [
     "monthly_profile",
     "null_code_origin",
     "null_profile",
+    "preview",
     "project",
     "simultaneous_nulls",
     "survivor_order",

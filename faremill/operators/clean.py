@@ -32,12 +32,19 @@ def survivor_order(
     return [INGESTED, *tie_break]
 
 
-def _numbered(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    # The sort compares rows by an eight-byte prefix of its leading column and opens the rows
-    # only on a tie. Times differ from row to row, codes hardly do, so times lead.
+def _times_first(df: DataFrame, key: Sequence[str]) -> list[str]:
+    """The key with its time columns in front, for sorting and grouping.
+
+    A sort compares rows by an eight-byte prefix of the leading column and opens the rows only
+    on a tie; a hash aggregate that outgrows its memory sorts as well. Times differ from row to
+    row, codes hardly do.
+    """
     times = (TimestampType, TimestampNTZType)
-    leading = sorted(key, key=lambda c: not isinstance(df.schema[c].dataType, times))
-    window = Window.partitionBy(*leading).orderBy(*order)
+    return sorted(key, key=lambda c: not isinstance(df.schema[c].dataType, times))
+
+
+def _numbered(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    window = Window.partitionBy(*_times_first(df, key)).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(window))
 
 
@@ -59,7 +66,7 @@ def duplicate_count(df: DataFrame, key: Sequence[str] = DEDUP_KEY) -> DataFrame:
     Counting needs no ranks: repeats are rows minus keys, a hash aggregate that combines
     on the map side.
     """
-    per_key = df.groupBy(*key).agg(F.count("*").alias("_n"))
+    per_key = df.groupBy(*_times_first(df, key)).agg(F.count("*").alias("_n"))
     totals = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"), F.count("*").alias("unique_rows"))
     repeats = F.col("total_rows") - F.col("unique_rows")
     return totals.select(
@@ -84,7 +91,7 @@ def duplicate_examples(
     they are broadcast, and only their rows are ranked, at most n+1 per key and task.
     """
     order = survivor_order(df, key) if order is None else order
-    repeated = df.groupBy(*key).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    repeated = df.groupBy(*_times_first(df, key)).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
     wanted = repeated.orderBy(*key).limit(n).select(*[F.col(c).alias(f"_first_{c}") for c in key])
     same_key = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_first_{c}")) for c in key])
     rows = df.join(F.broadcast(wanted), same_key, "left_semi")
@@ -129,7 +136,7 @@ def cleaning_waterfall(
     df.select(*key).select(*fails)  # analysis fails here when a rule uses a column outside the key
 
     noted = [F.count_if(cond).alias(f"_noted{i}") for i, cond in enumerate(notes.values())]
-    per_key = df.groupBy(*key).agg(F.count("*").alias("_n"), *noted)
+    per_key = df.groupBy(*_times_first(df, key)).agg(F.count("*").alias("_n"), *noted)
 
     def total_of(rows: Column) -> Column:
         return F.coalesce(F.sum(rows), F.lit(0))

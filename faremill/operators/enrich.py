@@ -16,6 +16,11 @@ def project(df: DataFrame, columns: Sequence[str] = GOLD_COLUMNS) -> DataFrame:
     return df.select(*columns)
 
 
+def preview(df: DataFrame, by: Sequence[str], n: int = 10) -> DataFrame:
+    """The first `n` rows by a key, the same on every run; no full sort takes place."""
+    return df.orderBy(*by).limit(n)
+
+
 def decode_codes(df: DataFrame, code_maps: Sequence[CodeMap] = TRIP_CODES) -> DataFrame:
     """Add the description column of every code map, all in one projection."""
     return df.withColumns({m.desc_col: decode(m) for m in code_maps})

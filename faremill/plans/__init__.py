@@ -6,6 +6,7 @@ from faremill.plans.answers import (
     period_means,
     revenue_by_month,
     revenue_report,
+    revenue_report_sql,
     ticket_by_month,
 )
 from faremill.plans.layers import (
@@ -34,6 +35,7 @@ __all__ = [
     "period_means",
     "revenue_by_month",
     "revenue_report",
+    "revenue_report_sql",
     "silver",
     "ticket_by_month",
 ]

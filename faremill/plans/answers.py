@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faremill.contracts import PERIOD_MEAN_LABEL
+from faremill.contracts import MONTH_LABELS, PERIOD_MEAN_LABEL
 from faremill.functions.labels import daypart, hour_label, money_label, month_label
+from faremill.functions.text import sql_text
 
 # --- fixed values: place of the summary row in the report, and label of the wide table's row ---
 SUMMARY_ORDER = 99
@@ -86,6 +87,30 @@ def revenue_report(df: DataFrame) -> DataFrame:
     return ordered.drop("sort_group", "sort_year", "sort_month")
 
 
+def revenue_report_sql(df: DataFrame) -> DataFrame:
+    """`revenue_report` as SQL text, for those who read the gold table in SQL."""
+    months = " ".join(f"WHEN {m} THEN {sql_text(text)}" for m, text in MONTH_LABELS.items())
+    return df.sparkSession.sql(
+        f"""
+        WITH paid AS (
+          SELECT year, month, sum(total_amount) AS revenue, avg(total_amount) AS ticket
+          FROM {{gold}} WHERE total_amount > 0 GROUP BY year, month
+        ),
+        entries AS (
+          SELECT 0 AS block, year, month, CASE month {months} END AS mes, revenue, ticket FROM paid
+          UNION ALL
+          SELECT {SUMMARY_ORDER}, NULL, NULL, {sql_text(PERIOD_MEAN_LABEL)}, avg(revenue), avg(ticket) FROM paid
+        ),
+        printed AS (
+          SELECT *, '$' || round(revenue / 1000000, 1) || 'M' AS receita_total, '$' || round(ticket, 2) AS ticket_medio
+          FROM entries
+        )
+        SELECT * EXCEPT (block, year, month, revenue, ticket) FROM printed ORDER BY block, year, month
+        """,
+        gold=df,
+    )
+
+
 def _hourly(df: DataFrame, year: int, month: int, digits: int) -> DataFrame:
     return (
         df.filter((F.col("year") == year) & (F.col("month") == month) & (F.col("passenger_count") > 0))

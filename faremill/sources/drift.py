@@ -60,6 +60,11 @@ def drift_impact(
 
 
 def schema_drift(spark: SparkSession, zone: LandingZone, contract: TableContract) -> DataFrame:
-    """The drift table with the number of values each drift touches."""
+    """The drift table with the number of values each drift touches.
+
+    `in_contract` is false for columns the contract doesn't know, which bronze passes through.
+    """
     schemas = landed_schemas(spark, zone)
-    return drift_table(spark, schemas).join(drift_impact(spark, schemas, contract), "column_name", "left")
+    known = [c.name.lower() for c in contract.landed()]
+    report = drift_table(spark, schemas).join(drift_impact(spark, schemas, contract), "column_name", "left")
+    return report.withColumn("in_contract", F.lower("column_name").isin(*known))

@@ -55,6 +55,10 @@ def test_report_ends_in_the_period_mean(gold):
     ]
 
 
+def test_report_in_sql_is_the_same_report(gold):
+    assert plans.revenue_report_sql(gold).collect() == plans.revenue_report(gold).collect()
+
+
 def test_report_tells_the_same_month_of_two_years_apart(make_trips):
     rows = [{"tpep_pickup_datetime": datetime(y, 1, 1), "total_amount": a} for y, a in [(2024, 4.0), (2023, 2.0)]]
     got = plans.revenue_report(derive_calendar(make_trips(rows))).collect()

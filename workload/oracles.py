@@ -214,7 +214,8 @@ def _schema_drift() -> str:
         rows.append(
             f"SELECT '{name}' AS column_name, {months}, CAST({n_types} AS INT) AS n_types, "
             f"{str(n_types > 1).lower()} AS drifts, {filled(present)} AS values_present, "
-            f"{filled(retyped)} AS values_retyped FROM landed"
+            f"{filled(retyped)} AS values_retyped, {str(not name.startswith(('l_', 'cbd'))).lower()} AS in_contract "
+            "FROM landed"
         )
     return _with(LANDING, "\nUNION ALL\n".join(rows))
 
@@ -312,6 +313,11 @@ ORACLES: dict[str, str] = {
         f"SELECT {KEY}, CAST(rn AS INT) AS occurrence, total_amount, source_file_path, l_orderkey FROM numbered "
         f"WHERE rn > 1 ORDER BY {KEY}, rn LIMIT 5",
     ),
+    "preview": _with(
+        TRIPS,
+        f"SELECT {IDS}, source_file_path, {KEY}, total_amount FROM trips "
+        f"ORDER BY {', '.join(RECORD_ID)}, source_file_path LIMIT 10",
+    ),
     "filter_time_order": _with(TRIPS, "SELECT * FROM trips WHERE tpep_dropoff_datetime >= tpep_pickup_datetime"),
     "filter_window": _with(
         TRIPS, f"SELECT * FROM trips WHERE tpep_pickup_datetime >= {LO} AND tpep_pickup_datetime < {HI}"
@@ -491,4 +497,5 @@ positive AS (SELECT year, month, round(sum(total_amount), 2) AS amount_without_c
     "column_dictionary": _column_dictionary(),
 }
 ORACLES["chargeback_impact_one_pass"] = ORACLES["chargeback_impact"]
+ORACLES["revenue_report_sql"] = ORACLES["revenue_report"]
 ORACLES["sink_roundtrip"] = ORACLES["bronze_build"]

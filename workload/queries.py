@@ -73,6 +73,11 @@ def duplicate_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.duplicate_examples(trips(spark, sf_dir), show, n=5, order=ORDER)
 
 
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = trips(spark, sf_dir).select(*TRIP_ID, *DEDUP_KEY, "total_amount")
+    return ops.preview(shown, by=[*RECORD_ID, "source_file_path"], n=10)
+
+
 def filter_time_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips(spark, sf_dir).filter(ops.in_time_order())
 
@@ -297,6 +302,7 @@ QUERIES: dict[str, Query] = {
     "ticket_by_month": over(gold, plans.ticket_by_month),
     "period_means": over(gold, plans.period_means),
     "revenue_report": over(gold, plans.revenue_report),
+    "revenue_report_sql": over(gold, plans.revenue_report_sql),
     "avg_passengers_by_hour": over(gold, plans.avg_passengers_by_hour, YEAR, ANSWER_MONTH),
     "hour_extremes": over(gold, plans.hour_extremes, YEAR, ANSWER_MONTH),
     "hours_wide": over(gold, plans.hours_wide, YEAR, ANSWER_MONTH),
@@ -305,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "dedup_first": over(trips, ops.first_per_key, DEDUP_KEY, ORDER),
     "duplicate_count": over(trips, ops.duplicate_count),
     "duplicate_examples": duplicate_examples,
+    "preview": preview,
     "filter_time_order": filter_time_order,
     "filter_window": filter_window,
     "derive_calendar": derive_calendar,
