@@ -26,8 +26,9 @@ def table_size(df: DataFrame, scope: str) -> DataFrame:
 
 def _null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: NULLs of each column in `_n0`, `_n1`, … and the number of rows in `_total`."""
-    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(columns)]
-    return df.agg(F.count("*").alias("_total"), *nulls)
+    total = F.count("*")
+    nulls = [(total - F.count(F.col(f"`{c}`"))).alias(f"_n{i}") for i, c in enumerate(columns)]
+    return df.agg(total.alias("_total"), *nulls)
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
