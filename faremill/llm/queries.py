@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import decontam, knn, langid, linedup, neardup, notices, packing
+from faremill.llm import decontam, knn, langid, linedup, neardup, notices, packing, pseudonyms, quality, tokencounts
+from faremill.llm.scratch import Scratch
 
 
 def _table(name: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -20,12 +21,45 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(read("documents"), read("benchmark"))
 
 
+def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    docs = read("documents")
+    return quality.grade_documents(docs, quality.fit(docs, quality.graded(read("labels"))))
+
+
+def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four commits: all documents counted by one tokenizer; the same batch sent again; the texts that aren't
+    English counted by a second tokenizer version in place of the first; exact copies of a smaller doc_id deleted."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id IS NOT NULL")
+    scratch = Scratch(spark)
+    ledger = tokencounts.TokenLedger(spark, f"{scratch.root}/ledger")
+    count = lambda rows, name: tokencounts.count_tokens(rows, public_tokenizers.path(f"{name}.tiktoken"), public_tokenizers.PATTERN)
+    as_change = lambda rows, op, version: rows.withColumns({"op": F.lit(op), "version": F.lit(version)})
+    first, second = "byte_bpe_50k", "byte_bpe_multi_50k"
+    every = as_change(scratch.keep(count(docs, first), "counted"), "insert", first)
+    ledger.commit("0001-load", every)
+    ledger.commit("0001-load", every)
+    foreign = docs.where("lang IS DISTINCT FROM 'en'")
+    recounted = as_change(count(foreign, second), "insert", second)
+    ledger.commit("0002-upgrade", recounted.unionByName(as_change(foreign.select("doc_id", "source", "lang", F.lit(0).cast("long").alias("tokens")), "delete", first)))
+    prints = docs.select("doc_id", F.xxhash64("text").alias("a"), F.md5("text").alias("b"))
+    least = prints.groupBy("a", "b").agg(F.min("doc_id").alias("first_id"))
+    copies = prints.join(least, ["a", "b"]).where("doc_id > first_id").select("doc_id").distinct()
+    gone = copies.select("doc_id", *(F.lit(None).cast("string").alias(c) for c in ("source", "lang", "version")), F.lit(0).cast("long").alias("tokens"))
+    ledger.commit("0003-copies", gone.withColumn("op", F.lit("delete")))
+    return ledger.totals()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nnls_packing": _table("documents", lambda d: packing.pack(d, public_tokenizers.path("byte_bpe_50k.json"))),
+    # The key of a deployment comes from its secret store; this one makes the query repeatable.
+    "op2_feistel_pseudonyms": _table("documents", lambda d: pseudonyms.pseudonymize(d, key="a key for the test tables")),
     "op3_tensored_minhash": _table("documents", lambda d: neardup.near_duplicates(d, words=2, percent=80)),
     "op4_centroid_langid": _table("documents", langid.language_report),
     "op5_voronoi_knn": _table("embeddings", lambda d: knn.top_k(d, F.col("vec_id") % 100 == 0, k=10)),
+    "op6_ordinal_quality": op6_ordinal_quality,
     "op7_fuzzy_notices": _table("documents", notices.notice_report),
+    "op8_token_rollups": op8_token_rollups,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_runs": _table("documents", linedup.line_dedup_report),
 }
