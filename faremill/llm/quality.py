@@ -131,7 +131,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, max_rated: int = 6
     return fit_ordinal(row, np.concatenate(codes).astype(np.int64), got["grade"].to_numpy().astype(int), grades)
 
 
-def grade_documents(docs: DataFrame, model: OrdinalModel, at_least: int = 2, probability: float = 0.5) -> DataFrame:
+def grade_documents(docs: DataFrame, model: OrdinalModel, at_least: int = 2, probability: float = 0.3) -> DataFrame:
     """(doc_id, expected_grade, tail_probability, kept) of every row: kept where P(grade >= at_least) reaches `probability`.
 
     A NULL text is an empty one. Columns other than doc_id and text are not read.
