@@ -8,9 +8,10 @@ all but 5 in 100,000 pairs do, at 0.85 all but 1 in 1,000,000. What meets is ver
 
 Equal sets are one class from the start. In every table the class with the smallest document is the
 hub that the others are verified against: a row for each member, never all pairs. Components
-of those links leave open only the tables whose members lie in different components. There the
-remaining pairs are compared by their minhashes, in blocks of bounded size inside tasks, and only
-pairs between different components that agree often enough to be near are verified.
+of those links leave open only the tables whose members lie in different components. The members of
+these are dealt into chunks of bounded size, near ones together, and two chunks become a unit if a table holds a pair
+between components that agrees often enough to be near. A unit's whole sets meet in one task, which verifies its
+pairs and returns a spanning forest of links: a row for each member at most, however many pairs there are.
 """
 
 from __future__ import annotations
@@ -88,10 +89,8 @@ def prints(docs: DataFrame, words: int) -> DataFrame:
     return asked.mapInArrow(made, "doc_id long, n_shingles long, f1 long, f2 long, signs binary, keys array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
-    """Those pairs (a, b) of documents whose whole sets reach the similarity."""
-    pairs = scratch.keep(pairs, f"{name}-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def shingles_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(doc_id, shingles): the whole sets of the named documents. Only the texts that are named leave the shuffle."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,6 +98,15 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scratc
                 sets = [s.tobytes() for s in shingle_sets(data, starts, words)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
 
+    asked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
+    return asked.mapInArrow(made, "doc_id long, shingles binary").dropDuplicates(["doc_id"])
+
+
+def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """Those pairs (a, b) of documents whose whole sets reach the similarity."""
+    pairs = scratch.keep(pairs, f"{name}-pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -109,8 +117,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scratc
                 keep.append(100 * same >= percent * (small + large - same))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    asked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
-    sets = scratch.keep(asked.mapInArrow(made, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), f"{name}-sets")
+    sets = scratch.keep(shingles_of(docs, ids, words), f"{name}-sets")
     # A hub with many members goes to as many tasks as it has shares of them.
     shares = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_SHARE).cast("int").alias("shares"))
     left = pairs.join(shares, "a").withColumn("share", F.pmod(F.xxhash64("b"), "shares").cast("int")).drop("shares")
@@ -120,62 +127,82 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scratc
     return met.mapInArrow(near, "a long, b long")
 
 
-def _open_pairs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each block of a table (sorted, side 0 before side 1), the pairs worth verifying, each in the first table where it meets."""
+def _blocks(rows: Iterator[pa.RecordBatch], names: list[str], keys: int) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of each run of rows with equal keys (the first `keys` columns), of two rows or more; binary columns are lists."""
 
-    def pairs(block: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        left = np.flatnonzero(block["side"] == 0)
-        right = np.flatnonzero(block["side"] == 1)
-        alone = not len(right)
-        right = left if alone else right
-        signs = np.frombuffer(b"".join(block["signs"]), "<u2").reshape(-1, GROUPS * WIDTH)
-        a, b = [], []
-        for i in left.tolist():
-            others = right[right > i] if alone else right
-            n = block["n_shingles"][others]
-            own = block["n_shingles"][i]
-            others = others[(block["component"][others] != block["component"][i]) & (5 * np.minimum(n, own) >= 4 * np.maximum(n, own))]
-            if not len(others):
-                continue
-            same = signs[others] == signs[i]
-            whole = same.reshape(len(others), GROUPS, WIDTH).all(axis=2)
-            two = np.cumsum(whole, axis=1) <= 2
-            first = (whole & two)[:, [block["i"][i], block["j"][i]]].all(axis=1)
-            others = others[first & (same.sum(axis=1) >= AGREE)]
-            a += [block["node"][i]] * len(others)
-            b += block["node"][others].tolist()
-        return np.array(a, np.int64), np.array(b, np.int64)
-
-    names = ["table", "x", "y", "side", "i", "j", "node", "n_shingles", "component", "signs"]
-    rest: pa.Table | None = None
-
-    def blocks(part: pa.Table) -> Iterator[pa.RecordBatch]:
-        columns = {c: part[c].to_pylist() if c == "signs" else part[c].to_numpy() for c in names}
+    def cut(part: pa.Table) -> Iterator[dict[str, np.ndarray]]:
+        columns = {c: part[c].to_pylist() if pa.types.is_binary(part.schema.field(c).type) else part[c].to_numpy() for c in names}
         edge = np.ones(part.num_rows, bool)
-        edge[1:] = False
-        for c in ("table", "x", "y"):
-            edge[1:] |= columns[c][1:] != columns[c][:-1]
+        edge[1:] = np.any([columns[c][1:] != columns[c][:-1] for c in names[:keys]], axis=0)
         cuts = np.append(np.flatnonzero(edge), part.num_rows).tolist()
-        a, b = [], []
         for low, high in zip(cuts[:-1], cuts[1:], strict=True):
             if high - low > 1:
-                x, y = pairs({c: v[low:high] for c, v in columns.items()})
-                a.append(x)
-                b.append(y)
-        if a:
-            x, y = np.concatenate(a), np.concatenate(b)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+                yield {c: v[low:high] for c, v in columns.items()}
 
+    rest: pa.Table | None = None
     for batch in rows:
         part = pa.Table.from_batches([batch])
         part = part if rest is None else pa.concat_tables([rest, part])
-        key = [part[c].to_numpy() for c in ("table", "x", "y")]
+        key = [part[c].to_numpy() for c in names[:keys]]
         last = np.flatnonzero(np.any([k != k[-1] for k in key], axis=0)) if part.num_rows else []
-        cut = int(last[-1]) + 1 if len(last) else 0
-        yield from blocks(part.slice(0, cut)) if cut else ()
-        rest = part.slice(cut)
+        at = int(last[-1]) + 1 if len(last) else 0
+        yield from cut(part.slice(0, at)) if at else ()
+        rest = part.slice(at)
     if rest is not None and rest.num_rows:
-        yield from blocks(rest)
+        yield from cut(rest)
+
+
+def _near(signs: np.ndarray, size: np.ndarray, component: np.ndarray, i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the others in another component than i, of a near size, and with enough minhashes equal; and which collections are."""
+    others = others[(component[others] != component[i]) & (5 * np.minimum(size[others], size[i]) >= 4 * np.maximum(size[others], size[i]))]
+    same = signs[others] == signs[i]
+    whole = same.reshape(len(others), GROUPS, WIDTH).all(axis=2)
+    ok = (same.sum(axis=1) >= AGREE) & (whole.sum(axis=1) >= 2)
+    return others[ok], whole[ok]
+
+
+def _signs(column: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(column), "<u2").reshape(-1, GROUPS * WIDTH)
+
+
+def _open_units(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of chunks that hold a pair worth verifying, from blocks of tables (sorted by side); each pair in the first table where it meets."""
+    for block in _blocks(rows, ["table", "x", "y", "side", "i", "j", "chunk", "n_shingles", "component", "signs"], 3):
+        left, right = np.flatnonzero(block["side"] == 0), np.flatnonzero(block["side"] == 1)
+        signs, found = _signs(block["signs"]), set()
+        for i in left.tolist():
+            others, whole = _near(signs, block["n_shingles"], block["component"], i, right if len(right) else left[left > i])
+            first = (whole & (np.cumsum(whole, axis=1) <= 2))[:, [block["i"][i], block["j"][i]]].all(axis=1)
+            own = int(block["chunk"][i])
+            found |= {(min(own, c), max(own, c)) for c in set(block["chunk"][others[first]].tolist())}
+        if found:
+            a, b = zip(*sorted(found), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _unit_links(percent: int):  # noqa: ANN202
+    """A spanning forest of the verified links between components in each unit."""
+
+    def links(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in _blocks(rows, ["a", "b", "node", "n_shingles", "component", "signs", "shingles"], 2):
+            signs, size, component = _signs(unit["signs"]), unit["n_shingles"], unit["component"].copy()
+            sets = [np.frombuffer(s, np.uint64) for s in unit["shingles"]]
+            found = []
+            for i in range(len(sets) - 1):
+                others, whole = _near(signs, size, component, i, np.arange(i + 1, len(sets)))
+                # The likeliest first: once linked, the rest of that component needs no look.
+                for j in others[np.argsort(-(signs[others] == signs[i]).sum(axis=1), kind="stable")].tolist():
+                    if component[j] == component[i]:
+                        continue
+                    same = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * same >= percent * (size[i] + size[j] - same):
+                        found.append((unit["node"][i], unit["node"][j]))
+                        component[component == component[j]] = component[i]
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return links
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -217,25 +244,36 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # Tables whose members are still in different components.
     placed = met.join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("table").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
-    rest = scratch.keep(placed.join(mixed.select("table"), "table").where("node <> hub"), "open")
-    parts = F.ceil(F.col("members") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("node", "i"), parts).cast("int")
-    dealt = rest.withColumns({"block": block, "blocks": parts}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
+    rest = scratch.keep(placed.join(mixed.select("table"), "table"), "open")
+    # Chunks of nodes by their smallest hub: near ones are together.
+    homes = rest.groupBy("node").agg(F.min("hub").alias("home"), F.min("component").alias("component"))
+    parts = homes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    chunk = F.xxhash64("home", F.pmod(F.xxhash64("node"), "parts"))
+    chunks = scratch.keep(homes.join(parts, "home").select("node", "component", chunk.alias("chunk")), "chunks")
+
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    dealt = rest.where("node <> hub").withColumns({"block": F.pmod(F.xxhash64("node", "i"), blocks).cast("int"), "blocks": blocks})
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "table", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).cast("int").alias("side"),
         "i", "j", "node", "component",
     )
-    dealt = dealt.join(nodes.select("node", "n_shingles", "signs"), "node")
-    grouped = dealt.repartition("table", "x", "y").sortWithinPartitions("table", "x", "y", "side")
-    grouped = grouped.select("table", "x", "y", "side", "i", "j", "node", "n_shingles", "component", "signs")
-    more = verified(grouped.mapInArrow(_open_pairs, "a long, b long").distinct(), docs, words, percent, scratch, "open-pairs")
+    dealt = dealt.join(nodes.select("node", "n_shingles", "signs"), "node").join(chunks.select("node", "chunk"), "node")
+    dealt = dealt.select("table", "x", "y", "side", "i", "j", "chunk", "n_shingles", "component", "signs")
+    dealt = dealt.repartition("table", "x", "y").sortWithinPartitions("table", "x", "y", "side")
+    units = scratch.keep(dealt.mapInArrow(_open_units, "a long, b long").distinct(), "units")
+    there = units.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("chunk")).join(chunks, "chunk")
+    needed = chunks.join(units.select(F.explode(F.array("a", "b")).alias("chunk")).distinct(), "chunk", "left_semi").select(F.col("node").alias("doc_id"))
+    sets = shingles_of(docs, needed, words).withColumnRenamed("doc_id", "node")
+    whole = scratch.keep(sets.join(nodes.select("node", "n_shingles", "signs"), "node"), "whole")
+    met_sets = there.join(whole, "node").select("a", "b", "node", "n_shingles", "component", "signs", "shingles")
+    more = met_sets.repartition("a", "b").sortWithinPartitions("a", "b", "node").mapInArrow(_unit_links(percent), "a long, b long")
     all_links = connected_components(
         edges.unionByName(links.select(F.col("node").alias("a"), F.col("component").alias("b"))).unionByName(more), scratch, "all-links"
     )
     named = scratch.keep(
         classes.join(all_links, "node", "left").select("f1", "f2", F.coalesce("component", "node").alias("class")), "named"
     )
-    scratch.drop("nodes", "met", "open", "edges", "hub-sets", "hub-pairs", "open-pairs-sets", "open-pairs-pairs")
+    scratch.drop("nodes", "met", "open", "edges", "hub-sets", "hub-pairs", "chunks", "units", "whole")
     marked = seen.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
     return marked.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
