@@ -77,10 +77,14 @@ def duplicate_count(df: DataFrame, key: Sequence[str] = DEDUP_KEY) -> DataFrame:
     )
 
 
+#: Up to here Spark cuts each key to the wanted ranks before the shuffle, and the wanted keys are few enough to broadcast.
+EXAMPLES = 900
+
+
 def duplicate_examples(
     df: DataFrame,
     show: Sequence[str],
-    n: int = 5,
+    n: int,
     key: Sequence[str] = DEDUP_KEY,
     order: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -88,8 +92,10 @@ def duplicate_examples(
 
     Every repeated key has at least one repeat, so all of them lie in the first n repeated
     keys, and within a key at ranks 2 to n+1. A hash aggregate finds those keys; being n rows,
-    they are broadcast, and only their rows are ranked, at most n+1 per key and task.
+    they are broadcast (`EXAMPLES` bounds them), and only their rows are ranked, at most n+1 per key and task.
     """
+    if not 0 < n <= EXAMPLES:
+        raise ValueError(f"n must be from 1 to {EXAMPLES}")
     order = survivor_order(df, key) if order is None else order
     repeated = df.groupBy(*_times_first(df, key)).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
     wanted = repeated.orderBy(*key).limit(n).select(*[F.col(c).alias(f"_first_{c}") for c in key])

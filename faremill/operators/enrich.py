@@ -16,7 +16,7 @@ def project(df: DataFrame, columns: Sequence[str] = GOLD_COLUMNS) -> DataFrame:
     return df.select(*columns)
 
 
-def preview(df: DataFrame, by: Sequence[str], n: int = 10) -> DataFrame:
+def preview(df: DataFrame, by: Sequence[str], n: int) -> DataFrame:
     """The first `n` rows by a key, the same on every run; no full sort takes place."""
     return df.orderBy(*by).limit(n)
 

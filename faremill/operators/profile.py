@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from faremill.contracts import ANSWER_FIELDS, SECONDARY_FIELDS, CodeMap
 from faremill.functions.labels import decode, share
+from faremill.functions.money import exact_avg, exact_sum
 
 
 def table_size(df: DataFrame, scope: str) -> DataFrame:
@@ -143,14 +144,14 @@ def metric_extremes(df: DataFrame, metric: str = "total_amount", digits: int = 2
     )
 
 
-def daily_counts(df: DataFrame, ts: str, n: int = 10) -> DataFrame:
-    """Rows per day, the `n` earliest days."""
-    return (
+def daily_counts(df: DataFrame, ts: str, n: int | None = None) -> DataFrame:
+    """Rows per day, in order; with `n` the earliest days only."""
+    days = (
         df.groupBy(F.col(ts).cast("date").alias("pickup_date"))
         .agg(F.count("*").alias("trips"))
         .orderBy("pickup_date")
-        .limit(n)
     )
+    return days if n is None else days.limit(n)
 
 
 def filter_interaction(df: DataFrame, metric: str = "total_amount", count_col: str = "passenger_count") -> DataFrame:
@@ -183,8 +184,8 @@ def monthly_profile(df: DataFrame, metric: str = "total_amount") -> DataFrame:
         df.groupBy("year", "month")
         .agg(
             F.count("*").alias("trips"),
-            F.round(F.sum(metric), 2).alias("amount_sum"),
-            F.round(F.avg(metric), 4).alias("amount_avg"),
+            F.round(exact_sum(metric), 2).alias("amount_sum"),
+            F.round(exact_avg(metric), 4).alias("amount_avg"),
             F.round(F.min(metric), 2).alias("amount_min"),
             F.round(F.max(metric), 2).alias("amount_max"),
         )
@@ -197,7 +198,7 @@ def monthly_chargebacks(df: DataFrame, metric: str = "total_amount") -> DataFram
     return (
         df.filter(F.col(metric) <= 0)
         .groupBy("year", "month")
-        .agg(F.count("*").alias("trips"), F.round(F.sum(metric), 2).alias("chargeback_amount"))
+        .agg(F.count("*").alias("trips"), F.round(exact_sum(metric), 2).alias("chargeback_amount"))
         .orderBy("year", "month")
     )
 
@@ -213,11 +214,11 @@ def chargeback_impact(df: DataFrame, metric: str = "total_amount") -> DataFrame:
     A month without positive rows isn't in the result.
     """
     month = ["year", "month"]
-    everything = df.groupBy(*month).agg(F.round(F.sum(metric), 2).alias("amount_with_chargebacks"))
+    everything = df.groupBy(*month).agg(F.round(exact_sum(metric), 2).alias("amount_with_chargebacks"))
     positive = (
         df.filter(F.col(metric) > 0)
         .groupBy(*month)
-        .agg(F.round(F.sum(metric), 2).alias("amount_without_chargebacks"))
+        .agg(F.round(exact_sum(metric), 2).alias("amount_without_chargebacks"))
     )
     return _with_difference(everything.join(positive, month, "inner"))
 
@@ -226,8 +227,8 @@ def chargeback_impact_one_pass(df: DataFrame, metric: str = "total_amount") -> D
     """`chargeback_impact` from one scan: the positive part is a conditional sum."""
     amount = F.col(metric)
     sums = df.groupBy("year", "month").agg(
-        F.round(F.sum(amount), 2).alias("amount_with_chargebacks"),
-        F.round(F.sum(F.when(amount > 0, amount)), 2).alias("amount_without_chargebacks"),
+        F.round(exact_sum(amount), 2).alias("amount_with_chargebacks"),
+        F.round(exact_sum(F.when(amount > 0, amount)), 2).alias("amount_without_chargebacks"),
     )
     return _with_difference(sums.filter(F.col("amount_without_chargebacks").isNotNull()))
 

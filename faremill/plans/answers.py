@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from faremill.contracts import MONTH_LABELS, PERIOD_MEAN_LABEL
 from faremill.functions.labels import daypart, hour_label, money_label, month_label
 from faremill.functions.text import sql_text
+from faremill.functions.money import AMOUNT, exact_avg, exact_sum
 
 # --- fixed values: place of the summary row in the report, and label of the wide table's row ---
 SUMMARY_ORDER = 99
@@ -30,7 +31,7 @@ def revenue_by_month(df: DataFrame) -> DataFrame:
     return (
         _paid(df)
         .groupBy("year", "month")
-        .agg(F.count("*").alias("total_trips"), F.round(F.sum("total_amount"), 2).alias("total_amount_received"))
+        .agg(F.count("*").alias("total_trips"), F.round(exact_sum("total_amount"), 2).alias("total_amount_received"))
         .orderBy("year", "month")
     )
 
@@ -39,7 +40,7 @@ def _monthly(df: DataFrame) -> DataFrame:
     return (
         _paid(df)
         .groupBy("year", "month")
-        .agg(F.sum("total_amount").alias("total"), F.avg("total_amount").alias("avg_ticket"))
+        .agg(exact_sum("total_amount").alias("total"), exact_avg("total_amount").alias("avg_ticket"))
     )
 
 
@@ -93,8 +94,9 @@ def revenue_report_sql(df: DataFrame) -> DataFrame:
     return df.sparkSession.sql(
         f"""
         WITH paid AS (
-          SELECT year, month, sum(total_amount) AS revenue, avg(total_amount) AS ticket
-          FROM {{gold}} WHERE total_amount > 0 GROUP BY year, month
+          SELECT year, month, CAST(sum(amount) AS double) AS revenue, CAST(sum(amount) AS double) / count(amount) AS ticket
+          FROM (SELECT year, month, try_cast(total_amount AS {AMOUNT}) AS amount FROM {{gold}} WHERE total_amount > 0)
+          GROUP BY year, month
         ),
         entries AS (
           SELECT 0 AS block, year, month, CASE month {months} END AS mes, revenue, ticket FROM paid

@@ -131,6 +131,7 @@ def build_silver(spark: SparkSession, cfg: LakehouseConfig) -> None:
         provider=cfg.provider,
         rebalance=True,
         replace_partitions=cfg.replace_partitions,
+        emptied=cfg.valid.covers(*PARTITIONS),
     )
 
 
@@ -148,6 +149,7 @@ def build_gold(spark: SparkSession, cfg: LakehouseConfig) -> None:
         partition_by=PARTITIONS,
         provider=cfg.provider,
         replace_partitions=cfg.replace_partitions,
+        emptied=cfg.valid.covers(*PARTITIONS),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.contracts import TableContract
@@ -63,6 +63,7 @@ def write_table(
     provider: str | None = None,
     rebalance: bool = False,
     replace_partitions: bool = False,
+    emptied: Column | None = None,
 ) -> None:
     """Save `df` as a managed table with table and column descriptions.
 
@@ -71,7 +72,8 @@ def write_table(
     the partition columns, and a partition too big for one task is split over several.
     `replace_partitions` overwrites only the partitions `df` has rows for, which keeps the
     other months readable and safe when a rerun of one month fails; the whole-table overwrite
-    of a Parquet table isn't atomic. `provider` is the table format; unset, Spark's default.
+    of a Parquet table isn't atomic. With `emptied`, a condition on the partition columns, the partitions under it that
+    get no rows are dropped after the write. `provider` is the table format; unset, Spark's default.
     """
     spark = df.sparkSession
     out = contract.describe(df)
@@ -79,8 +81,15 @@ def write_table(
         out = out.hint("rebalance", *partition_by)
     exists = spark.catalog.tableExists(table)
     if exists and replace_partitions:
+        aligned = _aligned(out, table)
+        if emptied is not None:
+            # What the write itself produced; no second run of the plan.
+            written = Observation()
+            aligned = aligned.observe(written, F.collect_set(F.struct(*partition_by)).alias("partitions"))
         with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            _aligned(out, table).write.mode("overwrite").insertInto(table)
+            aligned.write.mode("overwrite").insertInto(table)
+        if emptied is not None:
+            _drop_emptied(spark, table, partition_by, emptied, {tuple(r) for r in written.get["partitions"]})
     elif exists and mode == "append":
         _aligned(out, table).write.insertInto(table)
     else:
@@ -93,6 +102,18 @@ def write_table(
     comment_on_table(spark, table, comment)
 
 
+def _drop_emptied(spark: SparkSession, table: str, by: Sequence[str], emptied: Column, written: set[tuple]) -> None:
+    """Drop the partitions under `emptied` that the write had no rows for."""
+    types = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    there = spark.sql(f"SHOW PARTITIONS {table}")
+    values = F.str_to_map("partition", F.lit("/"), F.lit("="))
+    there = there.select(*[values[c].cast(types[c]).alias(c) for c in by]).where(emptied)
+    for row in there.collect():
+        if tuple(row) not in written:
+            spec = ", ".join(f"{c} = {sql_text(str(v))}" for c, v in zip(by, row))
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import product
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,19 +59,23 @@ class LandingZone:
 
 
 def landed_schemas(spark: SparkSession, zone: LandingZone) -> dict[LandedPeriod, StructType]:
-    """Footer schema of every expected period that has landed; absent periods are left out.
+    """Schema of every expected period that has landed, all files' footers merged; absent periods are left out.
 
-    Only metadata is read. The reads go out side by side, since each of them waits on the
+    Only metadata is read. Files of one period whose types disagree are a `SchemaDriftError`. The reads go out side by side, since each of them waits on the
     object store for one footer.
     """
 
     def footer(period: LandedPeriod) -> StructType | None:
         try:
-            return spark.read.parquet(period.path).schema
+            return spark.read.option("mergeSchema", True).parquet(period.path).schema
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
+        except Py4JJavaError as e:
+            if "CANNOT_MERGE" in str(e.java_exception):
+                raise SchemaDriftError(f"the files of {period.kind} {period.key} disagree about a column's type") from e
+            raise
 
     periods = zone.expected()
     with ThreadPoolExecutor(max_workers=8) as pool:
@@ -102,23 +107,12 @@ def conform(df: DataFrame, contract: TableContract, unknown: str = "keep") -> Da
     return df.select(*known, *rest)
 
 
-def _with_source(df: DataFrame) -> DataFrame:
-    """Add the landed path each row came from, without Spark's part-file name if it is a directory."""
-    path = F.col("_metadata.file_path")
-    file = F.substring_index(path, "/", -1)
-    folder = F.left(path, F.length(path) - F.length(file) - 1)
-    return df.select("*", F.when(file.startswith("part-"), folder).otherwise(path).alias(SOURCE_COL))
-
-
 def read_landed(
     spark: SparkSession, schemas: Mapping[LandedPeriod, StructType]
-) -> Iterator[tuple[list[LandedPeriod], DataFrame]]:
-    """One relation per distinct footer schema, so that the plan grows with drifts, not with months."""
-    groups: dict[str, list[LandedPeriod]] = {}
+) -> Iterator[tuple[LandedPeriod, DataFrame]]:
+    """One relation per landed period, so that a row's period is known from the read and not from a path's text."""
     for period, schema in schemas.items():
-        groups.setdefault(schema.json(), []).append(period)
-    for periods in groups.values():
-        yield periods, spark.read.schema(schemas[periods[0]]).parquet(*[p.path for p in periods])
+        yield period, spark.read.schema(schema).parquet(period.path)
 
 
 def scan_periods(
@@ -128,10 +122,9 @@ def scan_periods(
     unknown: str = "keep",
     schemas: Mapping[LandedPeriod, StructType] | None = None,
 ) -> DataFrame:
-    """All landed periods under the contract, with their source path.
+    """All landed periods under the contract, each with the path it was configured to land at.
 
-    Periods of one footer schema are read together and cast to the contract before the
-    union, so `double` and `bigint` months meet as `bigint`. Missing columns become NULL.
+    Every period is cast to the contract before the union, so `double` and `bigint` months meet as `bigint`. Missing columns become NULL.
     Raises when nothing landed, a required column is nowhere, or a drift has no safe cast.
     """
     schemas = landed_schemas(spark, zone) if schemas is None else schemas
@@ -142,7 +135,7 @@ def scan_periods(
     if lost:
         raise MissingColumnError(f"no landed file has the required columns {lost}")
 
-    frames = [conform(_with_source(df), contract, unknown) for _, df in read_landed(spark, schemas)]
+    frames = [conform(df.withColumn(SOURCE_COL, F.lit(p.path)), contract, unknown) for p, df in read_landed(spark, schemas)]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     filled = contract.struct().fields
     have = {c.lower() for c in union.columns}
@@ -166,29 +159,17 @@ def read_enforced(spark: SparkSession, schema: StructType, *paths: str) -> DataF
 
 
 def period_coverage(spark: SparkSession, zone: LandingZone) -> DataFrame:
-    """Every expected period with `landed` and its number of rows (0 when absent)."""
+    """Every expected period with `landed` and its number of rows (0 when absent).
+
+    Each landed period is counted by itself, from its footers where the format has counts there.
+    """
     schemas = landed_schemas(spark, zone)
-    expected = spark.createDataFrame(
-        [(p.kind, p.year, p.month, p.path) for p in zone.expected()],
-        "kind string, year int, month int, path string",
-    )
-    if not schemas:
-        return expected.select("kind", "year", "month", F.lit(False).alias("landed"), F.lit(0).cast("long").alias("rows"))
-    # Paths in the lineage column carry the file system's scheme; the periods' own paths may not.
+    shape = "kind string, year int, month int, landed boolean, rows long"
+    absent = [(p.kind, p.year, p.month, False, 0) for p in zone.expected() if p not in schemas]
     counted = [
-        _with_source(df.select("_metadata")).groupBy(SOURCE_COL).agg(F.count("*").alias("rows"))
-        for _, df in read_landed(spark, schemas)
+        df.agg(F.count("*").alias("rows")).select(
+            F.lit(p.kind).alias("kind"), F.lit(p.year).alias("year"), F.lit(p.month).alias("month"), F.lit(True).alias("landed"), "rows"
+        )
+        for p, df in read_landed(spark, schemas)
     ]
-    rows = reduce(DataFrame.unionByName, counted).select(
-        F.regexp_replace(SOURCE_COL, "^[a-zA-Z0-9]+:/*", "/").alias("landed_path"), "rows"
-    )
-    landed = {p.path for p in schemas}
-    expected = expected.withColumns(
-        {
-            "landed": F.col("path").isin(*landed),
-            "landed_path": F.regexp_replace("path", "^[a-zA-Z0-9]+:/*", "/"),
-        }
-    )
-    return expected.join(rows, "landed_path", "left").select(
-        "kind", "year", "month", "landed", F.coalesce("rows", F.lit(0)).alias("rows")
-    )
+    return reduce(DataFrame.unionByName, counted, spark.createDataFrame(absent, shape))

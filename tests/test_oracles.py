@@ -14,12 +14,12 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, duck, name):
-    df, sql = queries()[name](spark, sf_dir), oracle_sql()[name]
+    df, sql = QUERIES[name](spark, sf_dir), ORACLES[name]
     columns, rows = spark_rows(df)
     want_columns, want = duck_rows(duck, sql)
     assert columns == want_columns

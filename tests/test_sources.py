@@ -110,12 +110,44 @@ def test_lineage_is_the_landed_path(spark, zone, land):
     assert got == {"yellow_tripdata_2023-01.parquet", "yellow_tripdata_2023-02.parquet"}
 
 
-def test_one_relation_per_schema(spark, zone, land):
+def test_one_relation_per_period(spark, zone, land):
     land(1)
-    land(2, lambda df: df.withColumn("VendorID", F.lit(1)))
     land(3)
-    groups = sorted(sorted(p.month for p in periods) for periods, _ in read_landed(spark, landed_schemas(spark, zone)))
-    assert groups == [[1, 3], [2]]
+    assert sorted(p.month for p, _ in read_landed(spark, landed_schemas(spark, zone))) == [1, 3]
+
+
+@pytest.mark.parametrize("name", ["with space", "ünïcode%20x", "plain"])
+@pytest.mark.parametrize("form", ["{}", "file:{}", "file://{}", "{}/"])
+def test_coverage_doesnt_depend_on_the_text_of_the_root(spark, tmp_path, name, form):
+    root = tmp_path / name
+    spark.range(3).write.parquet(str(root / "yellow/yellow_tripdata_2023-01.parquet"))
+    zone = LandingZone(form.format(root), ["yellow"], [2023], [1, 2])
+    got = [(r.month, r.landed, r.rows) for r in period_coverage(spark, zone).orderBy("month").collect()]
+    assert got == [(1, True, 3), (2, False, 0)]
+
+
+def _folder(spark, root, *frames):
+    """A landed folder whose files have names of their own."""
+    folder = root / "yellow/yellow_tripdata_2023-01.parquet"
+    folder.mkdir(parents=True)
+    for i, frame in enumerate(frames):
+        frame.toPandas().to_parquet(folder / f"data-{i}.parquet", index=False)
+    return LandingZone(str(root), ["yellow"], [2023], [1])
+
+
+def test_foreign_file_names_and_two_footers_in_a_folder(spark, tmp_path):
+    zone = _folder(spark, tmp_path, spark.sql("SELECT 1L AS VendorID"), spark.sql("SELECT 2L AS VendorID, 7.0D AS airport_fee"))
+    assert [(r.landed, r.rows) for r in period_coverage(spark, zone).collect()] == [(True, 2)]
+    (schema,) = landed_schemas(spark, zone).values()
+    assert schema.fieldNames() == ["VendorID", "airport_fee"]
+    ((_, df),) = read_landed(spark, landed_schemas(spark, zone))
+    assert sorted((r.VendorID, r.airport_fee) for r in df.collect()) == [(1, None), (2, 7.0)]
+
+
+def test_types_that_disagree_within_a_period_are_a_named_error(spark, tmp_path):
+    zone = _folder(spark, tmp_path, spark.sql("SELECT 1L AS VendorID"), spark.sql("SELECT 'x' AS VendorID"))
+    with pytest.raises(SchemaDriftError, match="2023_01"):
+        landed_schemas(spark, zone)
 
 
 def test_drift_table_marks_types_and_absences(spark, zone, land):

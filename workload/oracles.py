@@ -65,7 +65,7 @@ gold AS (
 
 MONTHLY = f"""{SILVER},
 monthly AS (
-  SELECT year, month, sum(total_amount) AS total, avg(total_amount) AS avg_ticket
+  SELECT year, month, CAST(sum(CAST(total_amount AS DECIMAL(20,6))) AS DOUBLE) AS total, CAST(sum(CAST(total_amount AS DECIMAL(20,6))) AS DOUBLE) / count(CAST(total_amount AS DECIMAL(20,6))) AS avg_ticket
   FROM silver WHERE total_amount > 0 GROUP BY year, month
 )"""
 
@@ -263,7 +263,7 @@ ORACLES: dict[str, str] = {
     # answers
     "revenue_by_month": _with(
         SILVER,
-        "SELECT year, month, count(*) AS total_trips, round(sum(total_amount), 2) AS total_amount_received "
+        "SELECT year, month, count(*) AS total_trips, round(CAST(sum(CAST(total_amount AS DECIMAL(20,6))) AS DOUBLE), 2) AS total_amount_received "
         "FROM silver WHERE total_amount > 0 GROUP BY year, month ORDER BY year, month",
     ),
     "ticket_by_month": _with(
@@ -339,8 +339,8 @@ ORACLES: dict[str, str] = {
     "money_labels": _with(
         TRIPS,
         "SELECT CAST(year(tpep_pickup_datetime) AS INT) AS year, CAST(month(tpep_pickup_datetime) AS INT) AS month, "
-        "'$' || CAST(round(sum(total_amount) / 1000000, 1) AS VARCHAR) || 'M' AS total_label, "
-        "'$' || CAST(round(avg(total_amount), 2) AS VARCHAR) AS ticket_label FROM trips GROUP BY 1, 2",
+        "'$' || CAST(round(CAST(sum(CAST(total_amount AS DECIMAL(20,6))) AS DOUBLE) / 1000000, 1) AS VARCHAR) || 'M' AS total_label, "
+        "'$' || CAST(round(CAST(sum(CAST(total_amount AS DECIMAL(20,6))) AS DOUBLE) / count(CAST(total_amount AS DECIMAL(20,6))), 2) AS VARCHAR) AS ticket_label FROM trips GROUP BY 1, 2",
     ),
     "month_labels": _with(
         f"{TRIPS},\nby_month AS (SELECT CAST(month(tpep_pickup_datetime) AS INT) AS month, count(*) AS trips "
@@ -428,19 +428,19 @@ ORACLES: dict[str, str] = {
     ),
     "monthly_profile": _with(
         SILVER,
-        "SELECT year, month, count(*) AS trips, round(sum(total_amount), 2) AS amount_sum, "
-        "round(avg(total_amount), 4) AS amount_avg, round(min(total_amount), 2) AS amount_min, "
+        "SELECT year, month, count(*) AS trips, round(CAST(sum(CAST(total_amount AS DECIMAL(20,6))) AS DOUBLE), 2) AS amount_sum, "
+        "round(CAST(sum(CAST(total_amount AS DECIMAL(20,6))) AS DOUBLE) / count(CAST(total_amount AS DECIMAL(20,6))), 4) AS amount_avg, round(min(total_amount), 2) AS amount_min, "
         "round(max(total_amount), 2) AS amount_max FROM silver GROUP BY year, month",
     ),
     "monthly_chargebacks": _with(
         SILVER,
-        "SELECT year, month, count(*) AS trips, round(sum(total_amount), 2) AS chargeback_amount "
+        "SELECT year, month, count(*) AS trips, round(CAST(sum(CAST(total_amount AS DECIMAL(20,6))) AS DOUBLE), 2) AS chargeback_amount "
         "FROM silver WHERE total_amount <= 0 GROUP BY year, month",
     ),
     "chargeback_impact": _with(
         f"""{SILVER},
-everything AS (SELECT year, month, round(sum(total_amount), 2) AS amount_with_chargebacks FROM silver GROUP BY year, month),
-positive AS (SELECT year, month, round(sum(total_amount), 2) AS amount_without_chargebacks FROM silver
+everything AS (SELECT year, month, round(CAST(sum(CAST(total_amount AS DECIMAL(20,6))) AS DOUBLE), 2) AS amount_with_chargebacks FROM silver GROUP BY year, month),
+positive AS (SELECT year, month, round(CAST(sum(CAST(total_amount AS DECIMAL(20,6))) AS DOUBLE), 2) AS amount_without_chargebacks FROM silver
              WHERE total_amount > 0 GROUP BY year, month)""",
         "SELECT year, month, amount_with_chargebacks, amount_without_chargebacks, "
         "round(amount_without_chargebacks - amount_with_chargebacks, 2) AS difference "
