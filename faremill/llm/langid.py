@@ -128,9 +128,10 @@ def fit(docs: DataFrame, learn: Column, per_language: int = 300, centroids: int
     sizes, least = size_class(counts), np.zeros(16)
     for c in range(16):
         above = near[sizes >= c]
-        least[c] = slack * above.min() if len(above) else 0.0
+        # Texts larger than any learned from are held to the largest of these.
+        least[c] = slack * above.min() if len(above) else least[c - 1]
     owner = np.repeat(np.arange(len(languages)), [len(c) for c in centres])
-    return LanguageModel(languages, owner, np.concatenate(centres).astype(np.float32), idf, np.minimum.accumulate(least[::-1])[::-1])
+    return LanguageModel(languages, owner, np.concatenate(centres).astype(np.float32), idf, least)
 
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:

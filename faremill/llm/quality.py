@@ -106,8 +106,8 @@ def graded(labels: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.min("grade").alias("grade"))
 
 
-def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, max_rated: int = 6000) -> OrdinalModel:
-    """A model of the rated documents: at most `max_rated` of them, those with the smallest hash of their doc_id."""
+def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, max_rated: int = 6000, sparse: float = 1e-3, turns: int = 250) -> OrdinalModel:
+    """A model of the rated documents: at most `max_rated` of them, those with the smallest hash of their doc_id. Fewer ratings want a higher penalty `sparse`."""
     picked = ratings.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rated).collect()
     sample = docs.sparkSession.createDataFrame([(r["doc_id"], r["grade"]) for r in picked], "own_id long, grade int")
 
@@ -128,7 +128,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, max_rated: int = 6
     if not codes:
         return OrdinalModel(np.zeros(1 << BITS, np.float32), np.linspace(-1, 1, grades - 1))
     row = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-    return fit_ordinal(row, np.concatenate(codes).astype(np.int64), got["grade"].to_numpy().astype(int), grades)
+    return fit_ordinal(row, np.concatenate(codes).astype(np.int64), got["grade"].to_numpy().astype(int), grades, sparse, turns)
 
 
 def grade_documents(docs: DataFrame, model: OrdinalModel, at_least: int = 2, probability: float = 0.3) -> DataFrame:

@@ -1,0 +1,363 @@
+"""Each operator against a plain version, on tables with NULLs, empty and long texts, ties, repeated rows and clashing columns."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from faremill.llm import decontam, knn, langid, linedup, neardup, notices, packing, pseudonyms, quality, tokencounts
+from faremill.llm.scratch import Scratch
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WHITE = " \t\n\x0b\x0c\r"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, k1 long, hub string, id long, component string"
+
+
+def words(rng: random.Random, n: int) -> list[str]:
+    return [rng.choice(["alpha", "Beta", "gamma,", "δέλτα", "eps-ilon", "zeta"]) + str(rng.randint(0, 400)) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def rows() -> list[tuple]:
+    rng = random.Random(5)
+    base = words(rng, 120)
+    texts = [None, "", " \n\t ", "one", "one", "x\n" * 40, "\n".join(" ".join(words(rng, 8)) for _ in range(3000)), "ß" * 9, "ß" * 10, "Ab" * 3000]
+    texts += [" ".join(base)] * 6
+    for k in range(60):
+        copy = list(base)
+        for _ in range(rng.randint(0, 14)):
+            copy[rng.randrange(len(copy))] = rng.choice(words(rng, 1))
+        texts.append(" ".join(copy[:60]) + "\n" + " ".join(copy[60:]))
+    shared = ["Ein gemeinsamer Absatz, der oft steht.", "  EIN gemeinsamer Absatz, der oft steht.\r", "short", "all rights reserved"]
+    texts += ["\n".join([*(" ".join(words(rng, rng.randint(1, 12))) for _ in range(5)), *rng.sample(shared, 2)]) for _ in range(60)]
+    out = [(i * 3, t, rng.choice(["en", "fr", None]), "s", 0, 7, "h", 1, "c") for i, t in enumerate(texts)]
+    rng.shuffle(out)
+    return [*out, out[0], (None, "no id here at all", None, None, None, None, None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(5).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_packing_gives_every_id_one_place(docs, rows, empty):
+    got = packing.pack(docs, VOCABULARY).collect()
+    encode = Tokenizer.from_file(VOCABULARY)
+    encode.encode_special_tokens = True
+    ids = {r[0]: [*encode.encode(r[1] or "", add_special_tokens=False).ids, 0] for r in rows}
+    places, pieces = collections.defaultdict(list), collections.defaultdict(list)
+    for r in got:
+        own = ids[r.doc_id][r.start : r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(np.array(own, "<u4").tobytes()) and r.doc_tokens == len(ids[r.doc_id])
+        places[r.sequence_id].append((r.offset, r.length))
+        pieces[r.doc_id].append((r.start, r.length))
+    for found in places.values():
+        found.sort()
+        assert [o for o, _ in found] == [sum(n for _, n in found[:i]) for i in range(len(found))]
+    totals = sorted(sum(n for _, n in p) for p in places.values())
+    assert totals[-1] == 1024 and (len(totals) < 2 or totals[1] == 1024)
+    repeats = collections.Counter(r[0] for r in rows)
+    for doc, found in pieces.items():
+        assert sum(n for _, n in found) == repeats[doc] * len(ids[doc])
+    assert packing.pack(empty, VOCABULARY).count() == 0
+
+
+def test_packing_plan_places_every_length_once():
+    for seed, size in ((1, 0), (2, 1), (3, 5000)):
+        histogram = np.bincount(np.random.default_rng(seed).integers(1, 65, size), minlength=65)
+        done = np.zeros(65, int)
+        for length, low, high, *_ in packing.plan(histogram, 64):
+            assert low == done[length]
+            done[length] = high
+        assert (done == histogram).all()
+
+
+def test_encoder_gives_the_ids_of_the_tokenizers_library():
+    encode, own, rng = Tokenizer.from_file(VOCABULARY), packing.encoder(VOCABULARY), random.Random(2)
+    encode.encode_special_tokens = True
+    for _ in range(3000):
+        text = "".join(rng.choice("ab cdé\n\t\r  'sts'LL0123١½ⅷ中文 ​́\x1c\x85\xa0\x00😀<|endoftext|>_-") for _ in range(rng.randint(0, 40)))
+        assert own(text) == encode.encode(text, add_special_tokens=False).ids
+
+
+def plain_components(rows, n, percent=80):
+    sets, size = {}, {}
+    for i, text, *_ in rows:
+        if i is None:
+            continue
+        w = re.findall("[^\x20\x09-\x0d]+", (text or "").translate(LOWER))
+        sets[i] = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
+        size[i] = len(sets[i])
+    up = {i: i for i in sets}
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                up[y] = x
+    return {i: (size[i], top(i)) for i in sets}
+
+
+@pytest.mark.parametrize("n", [2, 5])
+def test_near_duplicates_equal_all_pairs(docs, rows, n):
+    want = plain_components(rows, n)
+    got = neardup.near_duplicates(docs, n).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id, r.kept) == (*want[r.doc_id], want[r.doc_id][1] == r.doc_id)
+
+
+def test_one_of_each_group_stays_with_its_columns(docs, rows, empty):
+    want = plain_components(rows, 5)
+    got = neardup.keep_one_of_each(docs)
+    assert got.columns == docs.columns
+    assert {r.doc_id for r in got.collect()} == {None} | {i for i, (_, c) in want.items() if i == c}
+    assert neardup.keep_one_of_each(empty).count() == 0
+
+
+def plain_lines(rows):
+    own, holders = {}, collections.defaultdict(set)
+    keys = lambda t: [(line, line.strip(WHITE).translate(LOWER)) for line in (t or "").split("\n")]
+    for i, t, *_ in rows:
+        for _, k in keys(t):
+            if i is not None and len(k) >= 10:
+                holders[k].add(i)
+    own = {k: min(v) for k, v in holders.items() if len(v) > 1}
+    return {i: ([line for line, k in keys(t) if i is None or own.get(k, i) == i], len(keys(t))) for i, t, *_ in rows}
+
+
+def test_line_dedup_keeps_each_line_in_its_first_document(docs, rows, empty):
+    want = plain_lines(rows)
+    for batches in (1, 3):
+        for r in linedup.line_dedup_report(docs, batches=batches).collect():
+            kept, n = want[r.doc_id]
+            assert (r.n_lines, r.n_dropped) == (n, n - len(kept))
+            assert r.kept_sha256 == hashlib.sha256("\n".join(kept).encode()).hexdigest()
+    texts = {r.doc_id: r.text for r in linedup.drop_repeated_lines(docs).select(docs.columns).collect()}
+    assert texts == {i: None if t is None else "\n".join(want[i][0]) for i, t, *_ in rows}
+    assert linedup.line_dedup_report(empty).count() == 0
+
+
+def test_runs_are_compacted_and_hold_every_key_once(spark, docs):
+    store = linedup.LineRuns(spark, "runs_under_test", buckets=3, fanout=2)
+    lines = linedup.line_keys(docs)
+    parts = [lines.where(F.pmod("doc_id", F.lit(5)) == i) for i in range(5)]
+    for part in parts:
+        store.add(part)
+        store.compact()
+    runs = store.runs()
+    assert sorted(level for level, _ in runs) == [0, 2]
+    keys = [tuple(r) for _, t in runs for r in spark.table(t).select("k1", "k2").collect()]
+    assert len(keys) == len(set(keys)) and set(keys) == {tuple(r) for r in lines.select("k1", "k2").collect()}
+    again = store.add(parts[0])
+    assert again.count() == 0
+    store.clear()
+    assert store.runs() == []
+
+
+def test_top_k_equals_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=6).astype("f4")]) for i in range(400)]
+    rows += [(1000 + i, [0.5] * 6) for i in range(80)] + [(2000, None), (2001, [1.0, None] * 3), (2002, [float("nan")] * 6), (2003, [float("inf")] * 6), (None, [1.0] * 6)]
+    rows += [(3000, []), (3100, [1e30] * 6), rows[0]]
+    df = spark.createDataFrame([(i, v, 5) for i, v in rows], "vec_id long, embedding array<float>, cell int").repartition(4)
+    whole = {i: [int(np.floor(1024 * np.float64(np.float32(x)))) for x in v] for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(v).all()}
+    clip = lambda x: max(-(2**63), min(2**63 - 1, x))
+    want = set()
+    for q in whole:
+        if q % 100 == 0:
+            best = sorted((-clip(sum(a * b for a, b in zip(whole[q], v))), i) for i, v in whole.items() if i != q)[:10]
+            want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+    got = knn.top_k(df, F.col("vec_id") % 100 == 0)
+    assert {tuple(r) for r in got.collect()} == want
+    assert knn.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_languages_are_learned_and_strangers_rejected(spark, docs, empty):
+    rng = random.Random(1)
+    make = lambda parts, n: " ".join("".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(n))
+    kinds = {"aa": ["tha", "ing", "ou", "er"], "bb": ["ção", "mento", "lhe", "que"], "cc": ["ов", "ств", "ни", "про"]}
+    rows = [(i, make(kinds[k], rng.randint(3, 60)), k) for i, k in enumerate(list(kinds) * 60)]
+    rows += [(900, None, None), (901, "12 34 !?", "aa"), (902, "", None), (903, "漢字仮名交じり文" * 30, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("own_id", F.lit(3))
+    got = {r.doc_id: r for r in langid.language_report(df).collect()}
+    assert all(got[i].lang_pred == k and got[i].accepted and 0 <= got[i].score <= 1 for i, _, k in rows[:180])
+    assert all(got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, *_ in rows)
+    for i in (900, 901, 902):
+        assert (got[i].lang_pred, got[i].score, got[i].accepted) == ("und", 0.0, False)
+    assert got[903].lang_pred in kinds and not got[903].accepted
+    assert {r.doc_id for r in langid.keep_known_languages(df).collect()} == set(range(180))
+    assert langid.language_report(empty).count() == 0
+    assert langid.language_report(docs).count() == docs.count()
+    nothing = langid.language_report(df.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r.lang_pred for r in nothing} == {"und"}
+
+
+def test_notices_exact_and_with_errors(spark, docs, empty):
+    texts = {
+        1: "Released under the MIT License. Used under the mit-license; x",
+        2: "This is licensed under the Apache License, Version 2.0.",
+        3: "Licensed under CC BY-NC 4.0",
+        4: "released undr the MIT licence",
+        5: "Licensed under CC BY 4.0",
+        6: "under the mit\x00license é under the mité license",
+        7: None,
+        8: "licensed under the GNU general publc license, version 3",
+    }
+    df = spark.createDataFrame([(i, t, "x") for i, t in texts.items()], "doc_id long, text string, found string")
+    got = {r.doc_id: r for r in notices.notice_report(df).collect()}
+    digest = {i: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels) for i, r in got.items()}
+    assert digest[1] == (11, 2, 1, 6, "mit", "mit")
+    assert digest[2] == (10, 1, 5, 5, "apache-2", "apache-2")
+    assert digest[3] == (6, 1, 2, 2, "cc-by-nc", "cc-by-nc")
+    assert digest[4][1:] == (0, None, None, "", "mit") and got[4].found[0].errors == 2 and 0 < got[4].score < 1
+    assert digest[5][4:] == ("", "cc-by")
+    assert digest[6][:4] == (9, 1, 0, 0)
+    assert digest[7] == (0, 0, None, None, "", "") and got[7].score == 0
+    assert digest[8][5] == "gpl-3"
+    assert notices.notice_report(docs).count() == docs.count() and notices.notice_report(empty).count() == 0
+
+
+def test_pseudonyms_keep_format_validity_and_links(spark, docs, empty):
+    key = "0123456789abcdef"
+    text = (
+        "Card 4111 1111 1111 1111 or 4111111111111111 not 4111111111111112; born 29/02/1996, 02/29/1996, 1999-12-31 not 2023-02-30; "
+        "ssn 123-45-6789 not 000-12-3456; ip 10.0.0.255 not 10.0.0.256; mail Jo.Doe7@example.com; call +1 (217) 555-7713; "
+        'iban DE89370400440532013000; token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde"'
+    )
+    df = spark.createDataFrame([(1, text, "x"), (2, "again 4111-1111-1111-1111", "x"), (3, None, "x")], "doc_id long, text string, spans string")
+    got = {r.doc_id: r for r in pseudonyms.pseudonymize(df, key).collect()}
+    by = collections.defaultdict(list)
+    for s in got[1].spans:
+        by[s.kind].append((text[s.begin : s.end], s.pseudonym))
+    assert {k: len(v) for k, v in by.items()} == {"card": 2, "date": 3, "ssn": 1, "ipv4": 1, "email": 1, "phone": 1, "iban": 1, "secret": 1}
+    digits = [re.sub(r"\D", "", p) for _, p in by["card"]] + [re.sub(r"\D", "", got[2].spans[0].pseudonym)]
+    assert len(set(digits)) == 1 and digits[0] != "4111111111111111" and pseudonyms._luhn(digits[0][:-1]) == int(digits[0][-1])
+    for old, new in (pair for pairs in by.values() for pair in pairs):
+        assert old != new and old not in got[1].text
+        if old[0] != "1" or "." not in old:
+            assert re.sub("[a-zA-Z0-9]", "x", old) == re.sub("[a-zA-Z0-9]", "x", new)
+    for valid in ("4111111111111112", "2023-02-30", "000-12-3456", "10.0.0.256"):
+        assert valid in got[1].text
+    assert (got[3].text, got[3].n_replaced) == (None, 0)
+    assert pseudonyms.pseudonymize(docs, key).count() == docs.count() and pseudonyms.pseudonymize(empty, key).count() == 0
+
+
+def test_feistel_is_a_permutation():
+    f = pseudonyms.Feistel(b"0123456789abcdef")
+    for size in (1, 2, 7, 100, 730):
+        assert sorted(f.move(v, size, "t") for v in range(size)) == list(range(size))
+    odd = [v for v in range(99) if v % 2]
+    assert sorted(f.move(v, 99, "t", lambda v: v % 2 == 1) for v in odd) == odd
+
+
+def plain_align(a, b):
+    best, h = 0, np.zeros((len(a) + 1, len(b) + 1), int)
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            h[i, j] = max(0, h[i - 1, j - 1] + (2 if a[i - 1] == b[j - 1] else -1), h[i - 1, j] - 1, h[i, j - 1] - 1)
+            best = max(best, h[i, j])
+    return best
+
+
+def test_alignment_equals_the_plain_recurrence():
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(2, 6, (40, 12)).astype(np.uint64), rng.integers(2, 6, (40, 30)).astype(np.uint64)
+    assert decontam.align(a, b)[0].tolist() == [plain_align(x, y) for x, y in zip(a, b)]
+
+
+def test_leaks_are_found_when_edited_and_clean_documents_left(spark, docs, empty):
+    rng = random.Random(7)
+    items = {i: words(rng, 30) for i in range(20)} | {50: ["short"], 51: []}
+    bench = [(i, " ".join(w), "x") for i, w in items.items()] + [(60, None, "x"), (None, "a b c", "x")]
+    edited = list(items[3])
+    edited[10:12] = ["new"]
+    edited.insert(20, "more")
+    texts = {
+        1: " ".join(words(rng, 50) + items[2] + words(rng, 50)),
+        2: " ".join(words(rng, 50) + edited),
+        3: " ".join(words(rng, 400)),
+        4: " ".join(items[4][:8] + words(rng, 60)),
+        5: " ".join(items[5] + words(rng, 20) + items[6]),
+        6: None,
+    }
+    texts |= {100 + i: " ".join(words(rng, 5) + items[7]).upper() for i in range(150)}
+    df = spark.createDataFrame([(i, t, 1.0) for i, t in texts.items()], "doc_id long, text string, score double").repartition(3)
+    items_df = spark.createDataFrame(bench, "item_id long, text string, gram string")
+    want = {(1, 2), (2, 3), (5, 5), (5, 6)} | {(100 + i, 7) for i in range(150)}
+    for size in (8_000_000, 700):
+        got = {(r.doc_id, r.item_id): r for r in decontam.leaks(df, items_df, block_bytes=size).collect()}
+        assert set(got) == want
+        hit = got[1, 2]
+        assert (hit.score, hit.first_word, hit.n_words) == (1.0, len(re.findall(r"[^\W_]+", " ".join(texts[1].split()[:50]))), hit.n_words)
+        assert 0.7 < got[2, 3].score < 1
+    assert {r.doc_id for r in decontam.drop_leaking(df, items_df).collect()} == {3, 4, 6}
+    assert decontam.leaks(empty, items_df).count() == 0 and decontam.leaks(docs, items_df.limit(0)).count() == 0
+
+
+def test_grades_are_learned_from_ratings(spark, docs, empty):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(600):
+        grade = i % 3
+        w = words(rng, rng.randint(20, 80))
+        if grade == 0:
+            w[rng.randrange(len(w))] = rng.choice(["vile", "Nasty!"])
+        if grade == 1:
+            w = [x + "###" for x in w]
+        rows.append((i, " ".join(w), 0.5))
+        labels.append((i, int(grade == 2), int(grade == 0)))
+    df = spark.createDataFrame([*rows, (900, None, 0.5), (901, "", 0.5)], "doc_id long, text string, grade double")
+    rated = quality.graded(spark.createDataFrame([*labels, (None, 1, 0), (902, None, None), labels[0]], "doc_id long, quality int, toxic int"))
+    model = quality.fit(df, rated.where("doc_id < 450"), sparse=2e-3, turns=500)
+    assert model.thresholds[0] < model.thresholds[1]
+    got = {r.doc_id: r for r in quality.grade_documents(df, model, probability=0.5).collect()}
+    assert len(got) == 602 and all(0 <= r.expected_grade <= 2 for r in got.values())
+    held = range(450, 600)
+    assert sum(got[i].kept == (i % 3 == 2) for i in held) >= 0.95 * len(held)
+    assert quality.grade_documents(docs, quality.fit(docs, rated.limit(0))).count() == docs.count()
+    assert quality.grade_documents(empty, model).count() == 0
+
+
+def test_ledger_totals_follow_signed_changes_and_replays(spark):
+    ledger = tokencounts.TokenLedger(spark, f"{Scratch(spark).root}/ledger")
+    make = lambda rows: spark.createDataFrame(rows, tokencounts.CHANGE)
+    totals = lambda: {(r.source, r.lang, r.version): (r.documents, r.tokens) for r in ledger.totals().collect()}
+    assert totals() == {}
+    load = make([("insert", i, "a" if i % 2 else None, "en", "v1", 10 * i) for i in range(6)] + [("insert", 3, "a", "en", "v1", 30)])
+    assert ledger.commit("1", load) and not ledger.commit("1", load)
+    assert totals() == {("a", "en", "v1"): (3, 90), (None, "en", "v1"): (3, 60)}
+    ledger.commit("2", make([("revise", 3, "a", "fr", "v1", 7), ("delete", 5, None, None, "v1", None), ("insert", 1, "a", "en", "v2", 4), ("delete", 77, None, None, "v1", 1)]))
+    assert totals() == {("a", "en", "v1"): (1, 10), ("a", "fr", "v1"): (1, 7), (None, "en", "v1"): (3, 60), ("a", "en", "v2"): (1, 4)}
+    ledger.commit("3", make([("delete", 1, None, None, None, None)]))
+    assert totals() == {("a", "fr", "v1"): (1, 7), (None, "en", "v1"): (3, 60)}
+    # A batch that was broken off before its marker is written over.
+    load.selectExpr("doc_id", "source", "lang", "version", "9 AS sign", "tokens").write.parquet(f"{ledger.path}/entries/4")
+    assert ledger.committed() == ["1", "2", "3"]
+    ledger.commit("4", make([]))
+    assert totals() == {("a", "fr", "v1"): (1, 7), (None, "en", "v1"): (3, 60)}
+    with pytest.raises(ValueError, match="operations"):
+        ledger.commit("5", make([("upsert", 1, "a", "en", "v1", 1)]))
