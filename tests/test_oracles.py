@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tools.check import connect, duck_rows, sort_key, spark_rows, types
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
