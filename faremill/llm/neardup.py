@@ -30,8 +30,8 @@ from faremill.llm.texts import BASE, mix, shingle_sets, slices
 GROUPS, WIDTH = 18, 3
 #: Of 54 minhashes, two sets of similarity 0.8 agree in fewer than this with a probability of about 4e-7.
 AGREE = 28
-#: Members of a table compared with each other at once.
-BLOCK = 256
+#: Members of a table whose minhashes are compared with each other at once, and nodes of a chunk, whose whole sets are.
+TABLE_BLOCK, CHUNK = 2048, 256
 #: Members verified against one hub in one task's share.
 HUB_SHARE = 512
 
@@ -247,11 +247,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     rest = scratch.keep(placed.join(mixed.select("table"), "table"), "open")
     # Chunks of nodes by their smallest hub: near ones are together.
     homes = rest.groupBy("node").agg(F.min("hub").alias("home"), F.min("component").alias("component"))
-    parts = homes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    parts = homes.groupBy("home").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("parts"))
     chunk = F.xxhash64("home", F.pmod(F.xxhash64("node"), "parts"))
     chunks = scratch.keep(homes.join(parts, "home").select("node", "component", chunk.alias("chunk")), "chunks")
 
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    blocks = F.ceil(F.col("members") / TABLE_BLOCK).cast("int")
     dealt = rest.where("node <> hub").withColumns({"block": F.pmod(F.xxhash64("node", "i"), blocks).cast("int"), "blocks": blocks})
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "table", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).cast("int").alias("side"),

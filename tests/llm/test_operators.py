@@ -232,7 +232,7 @@ def test_notices_exact_and_with_errors(spark, docs, empty):
     digest = {i: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels) for i, r in got.items()}
     assert digest[1] == (11, 2, 1, 6, "mit", "mit")
     assert digest[2] == (10, 1, 5, 5, "apache-2", "apache-2")
-    assert digest[3] == (6, 1, 2, 2, "cc-by-nc", "cc-by-nc")
+    assert digest[3] == (7, 1, 2, 2, "cc-by-nc", "cc-by-nc")
     assert digest[4][1:] == (0, None, None, "", "mit") and got[4].found[0].errors == 2 and 0 < got[4].score < 1
     assert digest[5][4:] == ("", "cc-by")
     assert digest[6][:4] == (9, 1, 0, 0)
