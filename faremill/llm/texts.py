@@ -19,7 +19,16 @@ WHITE = (9, 10, 11, 12, 13, 32)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BASE = 0x9E3779B97F4A7C15
-POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+class Local(dict):
+    """What a process has worked out for itself; travels empty with the functions that use it."""
+
+    def __reduce__(self) -> tuple:
+        return dict, ()
+
+
+POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = Local()
 
 
 def table(*members: int) -> np.ndarray:
