@@ -239,6 +239,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     edges = scratch.keep(
         verified(met.where("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), docs, words, percent, scratch, "hub"), "edges"
     )
+    scratch.drop("hub-sets", "hub-pairs")
     links = connected_components(edges, scratch, "links")
 
     # Tables whose members are still in different components.
@@ -273,7 +274,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     named = scratch.keep(
         classes.join(all_links, "node", "left").select("f1", "f2", F.coalesce("component", "node").alias("class")), "named"
     )
-    scratch.drop("nodes", "met", "open", "edges", "hub-sets", "hub-pairs", "chunks", "units", "whole")
+    scratch.drop("nodes", "met", "open", "edges", "chunks", "units", "whole")
     marked = seen.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
     return marked.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
