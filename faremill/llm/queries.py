@@ -40,7 +40,7 @@ def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.commit("0001-load", every)
     ledger.commit("0001-load", every)
     foreign = docs.where("lang IS DISTINCT FROM 'en'")
-    recounted = as_change(count(foreign, second), "insert", second)
+    recounted = as_change(scratch.keep(count(foreign, second), "recounted"), "insert", second)
     ledger.commit("0002-upgrade", recounted.unionByName(as_change(foreign.select("doc_id", "source", "lang", F.lit(0).cast("long").alias("tokens")), "delete", first)))
     prints = docs.select("doc_id", F.xxhash64("text").alias("a"), F.md5("text").alias("b"))
     least = prints.groupBy("a", "b").agg(F.min("doc_id").alias("first_id"))
