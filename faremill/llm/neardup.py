@@ -10,8 +10,9 @@ Equal sets are one class from the start. In every table the class with the small
 hub that the others are verified against: a row for each member, never all pairs. Components
 of those links leave open only the tables whose members lie in different components. The members of
 these are dealt into chunks of bounded size, near ones together, and two chunks become a unit if a table holds a pair
-between components that agrees often enough to be near. A unit's whole sets meet in one task, which verifies its
+between components that agrees often enough to be near. A unit's whole texts meet in one task, which verifies its
 pairs and returns a spanning forest of links: a row for each member at most, however many pairs there are.
+Texts travel compressed, and sets, which are larger, are made where they are compared.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,41 +91,50 @@ def prints(docs: DataFrame, words: int) -> DataFrame:
     return asked.mapInArrow(made, "doc_id long, n_shingles long, f1 long, f2 long, signs binary, keys array<long>")
 
 
-def shingles_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles): the whole sets of the named documents. Only the texts that are named leave the shuffle."""
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, body): the whole texts of the named documents, each compressed by itself before it can meet a shuffle."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for first, data, starts in slices(batch.column(1)):
-                sets = [s.tobytes() for s in shingle_sets(data, starts, words)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
+                bodies = [press.compress(data[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(bodies)), pa.array(bodies, pa.binary())], ["doc_id", "body"])
 
-    asked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
-    return asked.mapInArrow(made, "doc_id long, shingles binary").dropDuplicates(["doc_id"])
+    asked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(made, "doc_id long, body binary")
+    return asked.join(ids, "doc_id", "left_semi").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int, scratch: Scratch, name: str) -> DataFrame:
+def _set_of(body: bytes | pa.Buffer, words: int) -> np.ndarray:
+    """The whole set of a compressed text."""
+    data = np.frombuffer(zstandard.decompress(body), np.uint8)
+    return shingle_sets(data, np.array([0, len(data)]), words)[0]
+
+
+def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Those pairs (a, b) of documents whose whole sets reach the similarity."""
-    pairs = scratch.keep(pairs, f"{name}-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, p = None, np.zeros(0, np.uint64)
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
+                # A share's rows follow each other, so its hub's set is made once.
+                if hub is None or not hub.equals(x.as_buffer()):
+                    hub = x.as_buffer()
+                    p = _set_of(hub, words)
+                q = _set_of(y.as_buffer(), words)
                 small, large = min(len(p), len(q)), max(len(p), len(q))
                 same = len(np.intersect1d(p, q, assume_unique=True)) if 100 * small >= percent * large else 0
                 keep.append(100 * same >= percent * (small + large - same))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = scratch.keep(shingles_of(docs, ids, words), f"{name}-sets")
     # A hub with many members goes to as many tasks as it has shares of them.
     shares = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_SHARE).cast("int").alias("shares"))
     left = pairs.join(shares, "a").withColumn("share", F.pmod(F.xxhash64("b"), "shares").cast("int")).drop("shares")
-    left = left.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right")), "b")
-    hubs = sets.join(shares, sets["doc_id"] == shares["a"]).select("a", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "shingles")
-    met = left.join(hubs, ["a", "share"]).select("a", "b", "shingles", "right")
+    left = left.join(texts.select(F.col("doc_id").alias("b"), F.col("body").alias("other")), "b")
+    hubs = texts.join(shares, texts["doc_id"] == shares["a"]).select("a", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "body")
+    met = left.join(hubs, ["a", "share"]).select("a", "b", "body", "other")
     return met.mapInArrow(near, "a long, b long")
 
 
@@ -180,22 +191,23 @@ def _open_units(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _unit_links(percent: int):  # noqa: ANN202
+def _unit_links(words: int, percent: int):  # noqa: ANN202
     """A spanning forest of the verified links between components in each unit."""
 
     def links(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for unit in _blocks(rows, ["a", "b", "node", "n_shingles", "component", "signs", "shingles"], 2):
+        for unit in _blocks(rows, ["a", "b", "node", "n_shingles", "component", "signs", "body"], 2):
             signs, size, component = _signs(unit["signs"]), unit["n_shingles"], unit["component"].copy()
-            sets = [np.frombuffer(s, np.uint64) for s in unit["shingles"]]
-            found = []
-            for i in range(len(sets) - 1):
-                others, whole = _near(signs, size, component, i, np.arange(i + 1, len(sets)))
+            sets, found = {}, []
+            for i in range(len(size) - 1):
+                others, _ = _near(signs, size, component, i, np.arange(i + 1, len(size)))
                 # The likeliest first: once linked, the rest of that component needs no look.
                 for j in others[np.argsort(-(signs[others] == signs[i]).sum(axis=1), kind="stable")].tolist():
                     if component[j] == component[i]:
                         continue
+                    for k in {i, j} - sets.keys():
+                        sets[k] = _set_of(unit["body"][k], words)
                     same = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if 100 * same >= percent * (size[i] + size[j] - same):
+                    if 100 * same >= percent * (len(sets[i]) + len(sets[j]) - same):
                         found.append((unit["node"][i], unit["node"][j]))
                         component[component == component[j]] = component[i]
             if found:
@@ -236,10 +248,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     tables = own.select("node", crossed.alias("t")).select("node", "t.*")
     hubs = tables.groupBy("table").agg(F.min("node").alias("hub"), F.count("*").alias("members")).where("members > 1")
     met = scratch.keep(tables.join(hubs, "table"), "met")
-    edges = scratch.keep(
-        verified(met.where("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), docs, words, percent, scratch, "hub"), "edges"
-    )
-    scratch.drop("hub-sets", "hub-pairs")
+    pairs = scratch.keep(met.where("hub < node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    # Every member of a table is in one of these pairs, so these are the texts of the units below too.
+    ids = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    texts = scratch.keep(texts_of(docs, ids), "texts")
+    edges = scratch.keep(verified(pairs, texts, words, percent), "edges")
+    scratch.drop("pairs", "ids")
     links = connected_components(edges, scratch, "links")
 
     # Tables whose members are still in different components.
@@ -264,17 +278,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     units = scratch.keep(dealt.mapInArrow(_open_units, "a long, b long").distinct(), "units")
     there = units.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("chunk")).join(chunks, "chunk")
     needed = chunks.join(units.select(F.explode(F.array("a", "b")).alias("chunk")).distinct(), "chunk", "left_semi").select(F.col("node").alias("doc_id"))
-    sets = shingles_of(docs, needed, words).withColumnRenamed("doc_id", "node")
-    whole = scratch.keep(sets.join(nodes.select("node", "n_shingles", "signs"), "node"), "whole")
-    met_sets = there.join(whole, "node").select("a", "b", "node", "n_shingles", "component", "signs", "shingles")
-    more = met_sets.repartition("a", "b").sortWithinPartitions("a", "b", "node").mapInArrow(_unit_links(percent), "a long, b long")
+    bodies = texts.join(needed, "doc_id", "left_semi").withColumnRenamed("doc_id", "node")
+    whole = scratch.keep(bodies.join(nodes.select("node", "n_shingles", "signs"), "node"), "whole")
+    met_texts = there.join(whole, "node").select("a", "b", "node", "n_shingles", "component", "signs", "body")
+    more = met_texts.repartition("a", "b").sortWithinPartitions("a", "b", "node").mapInArrow(_unit_links(words, percent), "a long, b long")
     all_links = connected_components(
         edges.unionByName(links.select(F.col("node").alias("a"), F.col("component").alias("b"))).unionByName(more), scratch, "all-links"
     )
     named = scratch.keep(
         classes.join(all_links, "node", "left").select("f1", "f2", F.coalesce("component", "node").alias("class")), "named"
     )
-    scratch.drop("nodes", "met", "open", "edges", "chunks", "units", "whole")
+    scratch.drop("nodes", "met", "open", "edges", "chunks", "units", "texts", "whole")
     marked = seen.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))
     return marked.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
