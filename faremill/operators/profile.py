@@ -125,8 +125,9 @@ def group_share(
         groups = df.groupBy(*[c.alias(n) for n, c in by.items()]).agg(
             F.count_if(among).alias("trips"), F.count("*").alias("_all")
         )
-        whole = groups.agg(F.sum("_all")).scalar()
-        groups = groups.filter(F.col("trips") > 0)
+        # Both sides use both counters, so that their shuffle is one: no group has fewer than 0 or more than all of its rows.
+        whole = groups.agg(F.when(F.min("trips") >= 0, F.sum("_all"))).scalar()
+        groups = groups.filter(F.col("trips").between(1, F.col("_all")))
     return groups.select(*by, "trips", share(F.col("trips"), whole, digits).alias(f"pct_of_{of}"))
 
 

@@ -7,6 +7,7 @@ from faremill.sources.landing import (
     period_coverage,
     read_enforced,
     read_landed,
+    scan_declared,
     scan_periods,
 )
 
@@ -20,6 +21,7 @@ __all__ = [
     "period_coverage",
     "read_enforced",
     "read_landed",
+    "scan_declared",
     "scan_periods",
     "schema_drift",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 from functools import reduce
 
@@ -35,12 +36,17 @@ def drift_table(spark: SparkSession, schemas: Mapping[LandedPeriod, StructType])
 def drift_impact(
     spark: SparkSession, schemas: Mapping[LandedPeriod, StructType], contract: TableContract
 ) -> DataFrame:
-    """Per landed column: values present, and how many of them the contract cast changes in type.
+    """Per column that drifts: values present, and how many of them the contract cast changes in type.
 
-    One pass per distinct footer schema, each reading its columns once.
+    One pass per landed period. Columns that land everywhere with one type are not read.
     """
-    parts = []
+    landed = Counter((f.name, f.dataType.simpleString()) for s in schemas.values() for f in s.fields)
+    steady = [name for (name, _), n in landed.items() if n == len(schemas)]
+    parts = [spark.createDataFrame([], "column_name string, present long, retyped long")]
     for _, df in read_landed(spark, schemas):
+        df = df.drop(*[c for c in df.columns if c in steady])
+        if not df.columns:
+            continue
         counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
         retyped = []
         for f in df.schema.fields:
@@ -60,7 +66,7 @@ def drift_impact(
 
 
 def schema_drift(spark: SparkSession, zone: LandingZone, contract: TableContract) -> DataFrame:
-    """The drift table with the number of values each drift touches.
+    """The drift table with the number of values each drift touches, NULL where nothing drifts.
 
     `in_contract` is false for columns the contract doesn't know, which bronze passes through.
     """

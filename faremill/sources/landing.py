@@ -12,7 +12,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, FractionalType, IntegralType, StringType, StructField, StructType
 
 from faremill.contracts import REQUIRED, TableContract, PeriodRange
 from faremill.errors import MissingColumnError, NoLandedPeriodsError, SchemaDriftError
@@ -83,11 +83,19 @@ def landed_schemas(spark: SparkSession, zone: LandingZone) -> dict[LandedPeriod,
     return {p: s for p, s in zip(periods, schemas) if s is not None}
 
 
+def _as(landed: StructField, wanted: DataType) -> Column:
+    """The landed column in the wanted type; of a fraction's type, what no integer can hold is NULL."""
+    lossy = isinstance(landed.dataType, FractionalType) and isinstance(wanted, IntegralType)
+    value = F.col(f"`{landed.name}`")
+    return value.try_cast(wanted) if lossy else value.cast(wanted)
+
+
 def conform(df: DataFrame, contract: TableContract, unknown: str = "keep") -> DataFrame:
     """Bring landed columns to the contract's names, types and order in one projection.
 
     Contract columns that `df` lacks aren't invented here (see `scan_periods`). Columns the
     contract doesn't know follow after the known ones, or are dropped with `unknown="drop"`.
+    NaN, infinities and numbers out of range are NULL where the contract wants an integer.
     """
     if unknown not in ("keep", "drop"):
         raise ValueError(f"unknown must be 'keep' or 'drop', not {unknown!r}")
@@ -102,7 +110,7 @@ def conform(df: DataFrame, contract: TableContract, unknown: str = "keep") -> Da
                 f"column {f.name} landed as {f.dataType.simpleString()}; "
                 f"the contract wants {spec.data_type.simpleString()}"
             )
-        known.append(F.col(f"`{f.name}`").cast(spec.data_type).alias(spec.name))
+        known.append(_as(f, spec.data_type).alias(spec.name))
     rest = [F.col(f"`{f.name}`") for f in landed.values()] if unknown == "keep" else []
     return df.select(*known, *rest)
 
@@ -158,6 +166,30 @@ def read_enforced(spark: SparkSession, schema: StructType, *paths: str) -> DataF
     return spark.read.schema(schema).parquet(*paths)
 
 
+def scan_declared(spark: SparkSession, zone: LandingZone, schema: StructType) -> DataFrame:
+    """All landed periods under one declared schema, also where a type has to narrow.
+
+    Each period is read as its footers say, then cast; columns it lacks are NULL, others are not read.
+    Text where another type is declared raises `SchemaDriftError`.
+    """
+    frames = []
+    for period, df in read_landed(spark, landed_schemas(spark, zone)):
+        have = {f.name.lower(): f for f in df.schema.fields}
+        columns = []
+        for field in schema.fields:
+            f = have.get(field.name.lower())
+            if f is None:
+                columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+            elif isinstance(f.dataType, StringType) and not isinstance(field.dataType, StringType):
+                raise SchemaDriftError(f"column {f.name} of {period.key} landed as text; declared is {field.dataType.simpleString()}")
+            else:
+                columns.append(_as(f, field.dataType).alias(field.name))
+        frames.append(df.select(*columns))
+    if not frames:
+        raise NoLandedPeriodsError(f"none of {len(zone.expected())} expected periods landed under {zone.root}")
+    return reduce(DataFrame.unionByName, frames)
+
+
 def period_coverage(spark: SparkSession, zone: LandingZone) -> DataFrame:
     """Every expected period with `landed` and its number of rows (0 when absent).
 

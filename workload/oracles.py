@@ -144,7 +144,12 @@ def _waterfall() -> str:
         ("duplicate", "rn > 1", "rn > 1"),
         ("time_travel", failed_time, f"rn = 1 AND {failed_time}"),
         ("out_of_window", failed_window, f"rn = 1 AND NOT ({failed_time}) AND {failed_window}"),
-        ("systemic_nulls", "passenger_count IS NULL", "false"),
+        (
+            "systemic_nulls",
+            "passenger_count IS NULL AND RatecodeID IS NULL AND store_and_fwd_flag IS NULL "
+            "AND congestion_surcharge IS NULL AND airport_fee IS NULL",
+            "false",
+        ),
         ("negative_total", "total_amount < 0", "false"),
         ("zero_passengers", "passenger_count = 0", "false"),
         ("zero_distance", "trip_distance = 0", "false"),
@@ -211,11 +216,12 @@ def _schema_drift() -> str:
         def filled(which: list[int], name: str = name) -> str:
             return f"count({name}) FILTER (landing_month IN ({', '.join(map(str, which)) or 0}))"
 
+        counts = (filled(present), filled(retyped)) if n_types > 1 else ("CAST(NULL AS BIGINT)",) * 2
         rows.append(
             f"SELECT '{name}' AS column_name, {months}, CAST({n_types} AS INT) AS n_types, "
-            f"{str(n_types > 1).lower()} AS drifts, {filled(present)} AS values_present, "
-            f"{filled(retyped)} AS values_retyped, {str(not name.startswith(('l_', 'cbd'))).lower()} AS in_contract "
-            "FROM landed"
+            f"{str(n_types > 1).lower()} AS drifts, {counts[0]} AS values_present, "
+            f"{counts[1]} AS values_retyped, {str(not name.startswith(('l_', 'cbd'))).lower()} AS in_contract "
+            + ("FROM landed" if n_types > 1 else "")
         )
     return _with(LANDING, "\nUNION ALL\n".join(rows))
 
@@ -479,8 +485,11 @@ positive AS (SELECT year, month, round(CAST(sum(CAST(total_amount AS DECIMAL(20,
     ),
     "schema_enforced_scan": _with(
         LANDING,
-        f"SELECT {', '.join(c for c in TRIP_COLUMNS if c != 'passenger_count')}, l_orderkey, l_partkey, l_suppkey "
-        "FROM landed",
+        f"SELECT {', '.join(TRIP_COLUMNS)}, l_orderkey, l_partkey, l_suppkey FROM landed",
+    ),
+    "conflict_columns": _with(
+        LANDING,
+        "SELECT VendorID, passenger_count, RatecodeID, PULocationID, DOLocationID, l_orderkey, l_partkey, l_suppkey FROM landed",
     ),
     "union_drift": _with(
         LANDING,

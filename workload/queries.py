@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from faremill.contracts import (
     DEDUP_KEY,
     PAYMENT_CODES,
     RATECODES,
+    SECONDARY_FIELDS,
     TRIP_CONTRACT,
     VENDOR_CODES,
     CodeMap,
@@ -27,8 +30,8 @@ from faremill.sources import (
     conform,
     landed_schemas,
     period_coverage,
-    read_enforced,
     read_landed,
+    scan_declared,
     scan_periods,
     schema_drift,
 )
@@ -50,6 +53,7 @@ from workload.trips import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 TRIP_ID = ("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_linenumber", "source_file_path")
+CONFLICT_COLUMNS = ("VendorID", "passenger_count", "RatecodeID", "PULocationID", "DOLocationID")
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +98,7 @@ def derive_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cleaning_waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
     keeps = {"time_travel": ops.in_time_order(), "out_of_window": WINDOW.contains(PICKUP)}
     notes = {
-        "systemic_nulls": F.col("passenger_count").isNull(),
+        "systemic_nulls": reduce(and_, [F.col(c).isNull() for c in SECONDARY_FIELDS]),
         "negative_total": F.col("total_amount") < 0,
         "zero_passengers": F.col("passenger_count") == 0,
         "zero_distance": F.col("trip_distance") == 0,
@@ -220,13 +224,16 @@ def source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_enforced_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All landed months in one read. The column that landed as `double` can't widen and stays out."""
-    root = land(spark, sf_dir)
-    names = [c for c in TRIP_COLUMNS if c != "passenger_count"]
-    declared = TRIP_CONTRACT.struct(names)
+    """All landed months under one declared schema, also the column that landed as `double`."""
+    declared = TRIP_CONTRACT.struct(TRIP_COLUMNS)
     for record_id in ("l_orderkey", "l_partkey", "l_suppkey"):
         declared = declared.add(record_id, "long")
-    return read_enforced(spark, declared, f"{root}/batch-1/*/*.parquet")
+    return scan_declared(spark, landing_zone(land(spark, sf_dir)), declared)
+
+
+def conflict_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns whose types differ between months, under the declared schema."""
+    return schema_enforced_scan(spark, sf_dir).select(*CONFLICT_COLUMNS, "l_orderkey", "l_partkey", "l_suppkey")
 
 
 def union_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,23 +279,42 @@ def lakehouse(spark: SparkSession, sf_dir: str) -> plans.LakehouseConfig:
     return cfg
 
 
+_lakes: dict[tuple[str, str], plans.LakehouseConfig] = {}
+_lock = threading.Lock()
+
+
+def shared_lakehouse(spark: SparkSession, sf_dir: str) -> plans.LakehouseConfig:
+    """The lakehouse with all three layers, built once per session and data."""
+    memo = (spark.sparkContext.applicationId, sf_dir)
+    with _lock:
+        if memo not in _lakes:
+            cfg = lakehouse(spark, sf_dir)
+            plans.build_silver(spark, cfg)
+            plans.build_gold(spark, cfg)
+            _lakes[memo] = cfg
+        return _lakes[memo]
+
+
+def drop_lakehouses(spark: SparkSession) -> None:
+    """Drops the session's shared lakehouses with their tables."""
+    with _lock:
+        for memo in [m for m in _lakes if m[0] == spark.sparkContext.applicationId]:
+            spark.sql(f"DROP SCHEMA {_lakes.pop(memo).schema} CASCADE")
+
+
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = lakehouse(spark, sf_dir)
+    cfg = shared_lakehouse(spark, sf_dir)
     return read_table(spark, cfg.table(cfg.bronze_name)).withColumn("source_file_path", file_name())
 
 
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = lakehouse(spark, sf_dir)
-    plans.build_silver(spark, cfg)
-    plans.build_gold(spark, cfg)
+    cfg = shared_lakehouse(spark, sf_dir)
     return read_table(spark, cfg.table(cfg.gold_name))
 
 
 def column_dictionary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the catalog says of each gold column, and how many values the table holds in it."""
-    cfg = lakehouse(spark, sf_dir)
-    plans.build_silver(spark, cfg)
-    plans.build_gold(spark, cfg)
+    cfg = shared_lakehouse(spark, sf_dir)
     table = read_table(spark, cfg.table(cfg.gold_name))
     filled = table.agg(*[F.count(c).alias(c) for c in table.columns])
     filled = filled.unpivot([], table.columns, "column_name", "values_present")
@@ -355,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "period_coverage": period_coverage_query,
     "source_lineage": source_lineage,
     "schema_enforced_scan": schema_enforced_scan,
+    "conflict_columns": conflict_columns,
     "union_drift": union_drift,
     "contract_cast": contract_cast,
     "schema_drift": schema_drift_query,
