@@ -1,11 +1,11 @@
 """Benchmark items in training texts, edited copies included.
 
-Every item's 3-word grams are counted over all documents, and the rarer half of them, by that count within the
-item, are its seeds; so an item that leaks into every document keeps its seeds. Where a document
-holds a seed, the words around it are aligned with the item by Smith-Waterman, and the score is the
-share of the best that the item could reach.
+All of an item's 3-word grams are its seeds, however common or rare they are. Where a document holds a seed, the words
+around it, as many as an alignment of the least score can span, are counted; if enough of them are words of the
+item, they are aligned with it by Smith-Waterman, and the score is the share of the best that the item could
+reach. Counting leaves out only what no alignment could bring to the least score.
 
-The benchmark is taken in blocks of bounded size; each is two scans of the documents and no
+The benchmark is taken in blocks of bounded size; each is one scan of the documents and no
 shuffle of texts.
 """
 
@@ -19,11 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faremill.llm.notices import BREAKS
-from faremill.llm.texts import grams, slices, span_hashes, table, words
+from faremill.llm.texts import BASE, grams, mix, slices, span_hashes, table, words
 
 GRAM = 3
 #: Bytes of benchmark text held by every task at once.
 BLOCK_BYTES = 8_000_000
+#: Pairs of a seed and a place, or words around places, worked on at once.
+CELLS = 2_000_000
 LEAST_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -97,42 +99,36 @@ def _document_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndar
         yield first, span_hashes(text, begin, end), bounds
 
 
-def _document_counts(docs: DataFrame, items: Items) -> dict[int, int]:
-    """How many documents hold each gram of the items: one row for each gram and task."""
-    sets = {n: np.unique(items.grams[items.sizes[items.owner] == n]) for n in items.lengths}
+def _pair_keys(hashes: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """A hash of a word together with an item's number."""
+    return mix(hashes + (item.astype(np.uint64) + np.uint64(1)) * np.uint64(BASE))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = {n: np.zeros(len(s), np.int64) for n, s in sets.items()}
-        for batch in batches:
-            for _, hashes, bounds in _document_words(batch.column(1)):
-                for n, s in sets.items():
-                    row, _, number = _hits(hashes, bounds, s, n)
-                    if len(row):
-                        totals[n] += np.bincount(np.unique(np.stack([row, number]), axis=1)[1], minlength=len(s))
-        for n, t in totals.items():
-            yield pa.RecordBatch.from_arrays([pa.array(sets[n].view(np.int64)), pa.array(t)], ["gram", "n"]).filter(pa.array(t > 0))
-
-    found = docs.select("doc_id", "text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {g: n for g, n in found.collect()}
-
-
-def _rarer_half(items: Items, counts: dict[int, int]) -> np.ndarray:
-    """Numbers of the grams that are seeds: of each item, those no more frequent than its median gram."""
-    n = np.array([counts.get(int(g), 0) for g in items.grams.view(np.int64)])
-    keep = np.zeros(len(n), bool)
-    for i in range(len(items.words)):
-        own = slice(*np.searchsorted(items.owner, [i, i + 1]))
-        if len(n[own]):
-            keep[own] = n[own] <= np.median(n[own])
-    return np.flatnonzero(keep)
-
-
-def _aligned(docs: DataFrame, items: Items, seeds: np.ndarray, least: float) -> DataFrame:
+
+def _parts(sizes: np.ndarray) -> Iterator[slice]:
+    """Slices of the rows, whose sizes add up to CELLS at most, or of one row."""
+    ends, low = np.cumsum(sizes), 0
+    while low < len(sizes):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + CELLS, "right")))
+        yield slice(low, high)
+        low = high
+
+
+def _ranges(low: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from low on, as many as size says, of one row after another."""
+    return np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def _aligned(docs: DataFrame, items: Items, least: float) -> DataFrame:
     by_length = {}
     for n in items.lengths:
-        own = seeds[items.sizes[items.owner[seeds]] == n]
+        own = np.flatnonzero(items.sizes[items.owner] == n)
         own = own[np.argsort(items.grams[own], kind="stable")]
         by_length[n] = (items.grams[own], items.owner[own], items.place[own])
+    lengths = np.array([len(w) for w in items.words], int)
+    # A score of `least` leaves room for so many words of the document beside those that match.
+    reach = np.floor(MATCH * lengths * (1 - least) / -GAP + 1e-9).astype(int)
+    step = lengths // 4 + 1
+    held = np.unique(_pair_keys(np.concatenate([*items.words, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(lengths)), lengths)))
     item_words, ids = items.words, items.ids
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,27 +148,30 @@ def _aligned(docs: DataFrame, items: Items, seeds: np.ndarray, least: float) ->
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "score", "first_word", "n_words", "item_first_word", "item_words"])
 
     def candidates(hashes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(row, item, low, high): stretches of words to align, one for seeds that lie as they do in the item, up to gaps."""
-        out = []
+        """(row, item, low, high): stretches of words to align, one for seeds that lie nearly as they do in the item."""
+        found = []
         for n, (wanted, owner, place) in by_length.items():
-            row, word, _ = _hits(hashes, bounds, np.unique(wanted), n)
-            if not len(row):
-                continue
-            own = grams(hashes, n)[word + bounds[row]]
-            low, high = np.searchsorted(wanted, own, "left"), np.searchsorted(wanted, own, "right")
-            times = high - low
-            at = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            row, word, item = np.repeat(row, times), np.repeat(word, times), owner[at]
-            start = word - place[at]
-            order = np.lexsort((start, item, row))
-            before = None
-            for r, i, s in zip(row[order].tolist(), item[order].tolist(), start[order].tolist(), strict=True):
-                size = len(item_words[i])
-                pad = size // 3 + 4
-                if before and before[:2] == (r, i) and s - before[2] <= pad // 2:
-                    continue
-                before = (r, i, s)
-                out.append((r, i, max(0, s - pad), min(int(bounds[r + 1] - bounds[r]), s + size + 2 * pad)))
+            own = np.unique(wanted)
+            row, word, number = _hits(hashes, bounds, own, n)
+            low = np.searchsorted(wanted, own[number], "left")
+            times = np.searchsorted(wanted, own[number], "right") - low
+            for part in _parts(times):
+                at = _ranges(low[part], times[part])
+                item, start = owner[at], np.repeat(word[part], times[part]) - place[at]
+                found.append(np.unique(np.stack([np.repeat(row[part], times[part]), item, start // step[item]]), axis=1))
+        if not found:
+            return []
+        row, item, nth = np.unique(np.concatenate(found, axis=1), axis=1)
+        low = np.maximum(0, nth * step[item] - reach[item])
+        high = np.minimum(bounds[row + 1] - bounds[row], (nth + 1) * step[item] + lengths[item] + reach[item])
+        keep = np.zeros(len(row), bool)
+        for part in _parts(high - low):
+            size = (high - low)[part]
+            key = _pair_keys(hashes[_ranges((bounds[row] + low)[part], size)], np.repeat(item[part], size))
+            own = held[np.minimum(np.searchsorted(held, key), len(held) - 1)] == key
+            # Every match is a word of the item: with fewer than its share of them the score is below `least`.
+            keep[part] = np.add.reduceat(own.astype(int), np.cumsum(size) - size) >= least * lengths[item[part]] - 1e-9
+        out = zip(*(x[keep].tolist() for x in (row, item, low, high)), strict=True)
         return sorted(out, key=lambda c: len(item_words[c[1]]))
 
     def scored(tried: list[tuple[int, int, int, int]], hashes: np.ndarray, bounds: np.ndarray) -> Iterator[tuple]:
@@ -208,8 +207,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, gra
     """(doc_id, item_id, score, first_word, n_words, item_first_word, item_words): where a document holds an item or an edited copy.
 
     One row for each document and item, of the place with the highest score (the first of equal ones), if that is `least` or
-    more; score is the alignment's share of the item's best, 1 for an exact copy up to case and punctuation. Words are counted from
-    0. Rows of either table that have a NULL id or text, and items without words, find nothing; repeated
+    more; score is the alignment's share of the item's best, 1 for an exact copy up to case and punctuation. A place is seen by
+    `gram` words of the item that stand there one after another; edits that leave no such run, as every third word replaced, hide
+    it. Words are counted from 0. Rows of either table that have a NULL id or text, and items without words, find nothing; repeated
     rows are reported each. Other columns than ids and texts are not read.
     """
     texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -219,7 +219,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, gra
     for b in range(max(1, blocks)):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks))) == b).distinct().collect()
         block = Items(sorted((r["item_id"], r["text"]) for r in rows), gram)
-        found = _aligned(texts, block, _rarer_half(block, _document_counts(texts, block)), least)
+        found = _aligned(texts, block, least)
         out = found if out is None else out.unionByName(found)
     return out
 

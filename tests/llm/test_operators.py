@@ -318,6 +318,44 @@ def test_leaks_are_found_when_edited_and_clean_documents_left(spark, docs, empty
     assert decontam.leaks(empty, items_df).count() == 0 and decontam.leaks(docs, items_df.limit(0)).count() == 0
 
 
+def plain_leaks(texts, items, least=0.5):
+    """(doc, item) -> score of every pair that shares a 3-gram, the item aligned with the whole document."""
+    split = lambda t: re.findall(r"[a-z0-9]+", t.lower())
+    number, out = collections.defaultdict(lambda: len(number) + 2), {}
+    runs = lambda w: {tuple(w[k : k + 3]) for k in range(len(w) - 2)}
+    code = lambda t: np.array([number[w] for w in split(t)], np.uint64)
+    for i, text in items.items():
+        a = code(text)
+        for d, doc in texts.items():
+            b = code(doc)
+            if runs(a.tolist()) & runs(b.tolist()):
+                score = float(decontam.align(a[None], b[None])[0][0]) / (2 * len(a))
+                if score >= least:
+                    out[d, i] = score
+    return out
+
+
+def test_leaks_equal_all_grams_with_alignment(spark):
+    rng = random.Random(11)
+    own = lambda n: [f"w{rng.randint(0, 5000)}" for _ in range(n)]
+    items = {i: own(rng.choice([12, 20, 35])) for i in range(24)}
+    docs, n = {}, 0
+    for i, w in items.items():
+        edited = [w[: int(0.55 * len(w) + 1)], w[-int(0.55 * len(w) + 1) :], [x if (k + 1) % 5 else "new" for k, x in enumerate(w)]]
+        edited += [[x if rng.random() > share else own(1)[0] for x in w] for share in (0.1, 0.2, 0.3)]
+        edited += [[y for x in w for y in ([x, *own(1)] if rng.random() < 0.3 else [x])], w[: len(w) // 2] + own(len(w) // 2) + w[len(w) // 2 :]]
+        for e in edited[:: 1 if i % 2 else 3]:
+            docs[n] = " ".join([*own(rng.randint(0, 60)), *e, *own(rng.randint(0, 60))])
+            n += 1
+    docs |= {n + k: " ".join(own(20) + items[0][:4] + own(20)) for k in range(30)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    want = plain_leaks(docs, {i: " ".join(w) for i, w in items.items()})
+    assert len(want) > 100
+    for size in (8_000_000, 700):
+        assert {(r.doc_id, r.item_id): r.score for r in decontam.leaks(df, bench, block_bytes=size).collect()} == want
+
+
 def test_grades_are_learned_from_ratings(spark, docs, empty):
     rng = random.Random(9)
     rows, labels = [], []
