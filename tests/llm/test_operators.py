@@ -95,6 +95,22 @@ def test_encoder_gives_the_ids_of_the_tokenizers_library():
         assert own(text) == encode.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_gives_the_ids_of_a_tokenizer_at_its_defaults():
+    encode, own, rng = Tokenizer.from_file(VOCABULARY), packing.encoder(VOCABULARY), random.Random(3)
+    assert own("a<|endoftext|>b") == [64, 50256, 65]
+    parts = ["<|endoftext|>", "<|endoftext|", "|>", " ", "\n ", "word", "é", "12", "'s"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        assert own(text) == encode.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_counts_an_added_token_as_one_id(spark):
+    text = "one <|endoftext|> two"
+    ids = [*Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids, 0]
+    (got,) = packing.pack(spark.createDataFrame([(1, text)], "doc_id long, text string"), VOCABULARY).collect()
+    assert (got.doc_tokens, got.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def plain_components(rows, n, percent=80):
     sets, size = {}, {}
     for i, text, *_ in rows:
