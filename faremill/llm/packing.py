@@ -29,10 +29,41 @@ WINDOW = 1024
 END_ID = 0
 #: The pattern by which the vocabulary splits text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: What the pattern takes for whitespace, and how long a run of it may be for the pattern's engine, which has been seen to fail at 1,000,000.
+WHITESPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_RUN = 100_000
+LONG_RUNS = re.compile(f"(?<![{WHITESPACE}])[{WHITESPACE}]{{{LONG_RUN},}}")
 #: Pieces numbered together: the share of a length that one group takes.
 SHARE = 20_000
 
 
+def plain_encoder(ranks: dict[bytes, int], pattern: str = PATTERN) -> Callable[[str], list[int]]:
+    """The ids of a text under the ranks by `tiktoken`, special tokens being ordinary text.
+
+    Under PATTERN whitespace runs may have any length. The pattern takes a run up to its last character, or to the text's end, as one
+    piece, and goes on from there; long runs are cut out as such pieces, so its engine never sees them. Other patterns go to the
+    engine as they are.
+    """
+    import tiktoken
+
+    encoding = tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    if pattern != PATTERN:
+        return encoding.encode_ordinary
+
+    def ids_of(text: str) -> list[int]:
+        if len(text) < LONG_RUN:
+            return encoding.encode_ordinary(text)
+        out, at = [], 0
+        for m in LONG_RUNS.finditer(text):
+            end = m.end() - (m.end() < len(text))
+            out += encoding.encode_ordinary(text[at : m.start()])
+            out += encoding._encode_single_piece(text[m.start() : end])
+            at = end
+        return out + encoding.encode_ordinary(text[at:])
+
+    return ids_of
+
+
 def encoder(vocabulary: str) -> Callable[[str], list[int]]:
     """The ids of a text under a byte-level BPE vocabulary file of the `tokenizers` library.
 
@@ -40,8 +71,6 @@ def encoder(vocabulary: str) -> Callable[[str], list[int]]:
     times the speed. As there, the file's added tokens are cut out of the text first (of those that begin at one place the longest),
     and each gives its own id; ones that must stand alone or take blanks with them are refused.
     """
-    import tiktoken
-
     with open(vocabulary, encoding="utf-8") as f:
         saved = json.load(f)
     special = {t["content"]: t["id"] for t in saved.get("added_tokens", []) if t["content"]}
@@ -50,7 +79,7 @@ def encoder(vocabulary: str) -> Callable[[str], list[int]]:
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     shown = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - {*plain}))}
     ranks = {bytes(shown[c] for c in token): i for token, i in saved["model"]["vocab"].items() if token not in special}
-    plain_ids = tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    plain_ids = plain_encoder(ranks)
     if not special:
         return plain_ids
     added = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faremill.llm.packing import plain_encoder
+
 GROUP = ["source", "lang", "version"]
 ENTRY = "doc_id long, source string, lang string, version string, sign int, tokens long"
 SUMS = "source string, lang string, version string, documents long, tokens long"
@@ -27,11 +29,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import base64
 
-        import tiktoken
-
         with open(vocabulary, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        encode = tiktoken.Encoding("counted", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        encode = plain_encoder(ranks, pattern)
         for batch in batches:
             n = [len(encode(t.as_py() or "")) for t in batch.column(3)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int64())], ["doc_id", "source", "lang", "tokens"])

@@ -104,6 +104,19 @@ def test_encoder_gives_the_ids_of_a_tokenizer_at_its_defaults():
         assert own(text) == encode.encode(text, add_special_tokens=False).ids
 
 
+def test_whitespace_runs_of_any_length_are_encoded(spark):
+    encode, own = Tokenizer.from_file(VOCABULARY), packing.encoder(VOCABULARY)
+    for run in (" " * 3_000_000, "\n" * 1_000_000, " \n\t\xa0\u3000\x85" * 200_000, " " * 100_000, " " * 99_999 + "\n"):
+        for text in (f"one{run}two", f"{run}\x1c", f"a{run}", f"x{run}<|endoftext|> y{run[:120_000]}9"):
+            assert own(text) == encode.encode(text, add_special_tokens=False).ids
+    text = "one" + " " * 1_200_000 + "two" + "\n" * 1_100_000 + "three"
+    df = spark.createDataFrame([(1, text, "s", "en")], "doc_id long, text string, source string, lang string")
+    n = len(encode.encode(text, add_special_tokens=False).ids)
+    assert {r.doc_tokens for r in packing.pack(df, VOCABULARY).select("doc_tokens").collect()} == {n + 1}
+    counted = tokencounts.count_tokens(df, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert [r.tokens for r in counted.collect()] == [n]
+
+
 def test_packing_counts_an_added_token_as_one_id(spark):
     text = "one <|endoftext|> two"
     ids = [*Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids, 0]
