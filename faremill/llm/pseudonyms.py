@@ -4,6 +4,9 @@ Numbers and dates are found by their shape, validated (check digits, ranges, the
 permutation within all values of their format: a card number becomes a valid card number, a date a
 date. Equal values become equal pseudonyms in every document, however they are punctuated, and no two values
 of a format meet. What fails its validation is left as it is.
+
+A shape may take in a neighbour, such as a card's expiry. So a match is also tried at its shorter ends, and what
+fails is searched again from its next group on.
 """
 
 from __future__ import annotations
@@ -32,6 +35,26 @@ SHAPES = {
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])",
 }
 
+#: Lengths of IBANs by country, and of numbers after a calling code where all have one length.
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_LENGTHS = {country: n for n, countries in IBAN_COUNTRIES.items() for country in countries.split()}
+PHONE_LENGTHS = {"1": 10, "7": 10, "27": 9, "30": 10, "31": 9, "33": 9, "34": 9, "41": 9, "45": 8, "47": 8, "48": 9, "52": 10, "61": 9, "65": 8, "91": 10, "351": 9, "420": 9, "852": 8}
+IBAN_HEAD = re.compile(r"\b[A-Z]{2}\d{2}")
+#: How the digits of a printed card are grouped, and which first digits go with which lengths.
+CARD_GROUPS = re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1(?:\d|\d{4}(?:\1\d{1,3})?)|\d{4}([ -])\d{6}\2\d{4,5}")
+CARD_ISSUERS = re.compile(
+    r"4(?:\d{12}|\d{15}|\d{18})|(?:5[1-5]\d\d|222[1-9]|22[3-9]\d|2[3-6]\d\d|27[01]\d|2720)\d{12}|3[47]\d{13}|3(?:0[0-5]|[689]\d)\d{11}|"
+    r"(?:6011|64[4-9]\d|65\d\d|62\d\d|35[2-8]\d|220[0-4])\d{12,15}"
+)
+GROUP = re.compile(r"\d+")
+CHAIN = re.compile(r"\d+(?:[ -]\d+)*")
+#: The most characters of a card, with separators.
+CARD_WIDTH = 37
+
 
 class Feistel:
     """A keyed permutation of 0 .. size - 1: rounds over the two halves of a square number, walked until within the size."""
@@ -127,31 +150,39 @@ def _ssn(f: Feistel, text: str) -> str | None:
     return _refill(text, f"{f.move(value, 10**9, 'ssn', valid):09d}") if valid(value) else None
 
 
+def _calling_code(digits: str) -> str:
+    """The calling code under which the digits have the length of its numbers, or nothing."""
+    return next((digits[:n] for n in (1, 2, 3) if PHONE_LENGTHS.get(digits[:n]) == len(digits) - n), "")
+
+
 def _phone(f: Feistel, text: str) -> str | None:
     digits = _digits(text)
     if not 9 <= len(digits) <= 15:
         return None
     country = re.match(r"\+(\d{1,3})[ .(-]", text)
-    head = country[1] if country else ""
+    head = country[1] if country else _calling_code(digits) if text[0] == "+" else ""
     rest = digits[len(head) :]
     return _refill(text, head + f"{f.move(int(rest), 10 ** len(rest), f'phone{head or 1}:{len(rest)}'):0{len(rest)}d}")
 
 
 def _card(f: Feistel, text: str) -> str | None:
     digits = _digits(text)
-    if _luhn(digits[:-1]) != int(digits[-1]) or len(set(digits)) == 1:
+    if not _valid_card(digits):
         return None
     body = f"{f.move(int(digits[:-1]), 10 ** (len(digits) - 1), 'card'):0{len(digits) - 1}d}"
     return _refill(text, body + str(_luhn(body)))
 
 
+def _iban_remainder(plain: str) -> int:
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+
+
 def _iban(f: Feistel, text: str) -> str | None:
     plain = text.replace(" ", "")
-    remainder = lambda s: int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97
-    if not 15 <= len(plain) <= 34 or remainder(plain) != 1:
+    if not 15 <= len(plain) <= 34 or _iban_remainder(plain) != 1:
         return None
     moved = plain[:2] + "00" + _mixed(f, plain[4:], f"iban{plain[:2]}")
-    return _refill(text, moved[:2] + f"{98 - remainder(moved):02d}" + moved[4:], "[A-Z0-9]")
+    return _refill(text, moved[:2] + f"{98 - _iban_remainder(moved):02d}" + moved[4:], "[A-Z0-9]")
 
 
 MOVES: dict[str, Callable[[Feistel, str], str | None]] = {
@@ -160,35 +191,107 @@ MOVES: dict[str, Callable[[Feistel, str], str | None]] = {
 SPAN = "struct<kind:string,begin:long,end:long,pseudonym:string>"
 
 
+def _iban_end(text: str, begin: int, limit: int) -> int | None:
+    """Where the valid IBAN of its country's length ends that begins here, if one does before the limit."""
+    size = IBAN_LENGTHS.get(text[begin : begin + 2])
+    m = size and re.compile(rf"[A-Z0-9](?: ?[A-Z0-9]){{{size - 1}}}\b").match(text, begin, min(limit, len(text)))
+    if not m or m.end() < len(text) and (text[m.end()].isalnum() or text[m.end()] == "_"):
+        return None
+    return m.end() if _iban_remainder(m.group().replace(" ", "")) == 1 else None
+
+
+def _ends(kind: str, text: str, begin: int, end: int) -> list[int]:
+    """Where a match may end, in the order in which that is tried."""
+    if kind not in ("iban", "phone"):
+        return [end]
+    edges = [e for e in range(end, begin, -1) if e == end or text[e - 1].isalnum() != text[e].isalnum() and text[e - 1] not in " .-("]
+    if kind == "iban":
+        # The match as a whole comes last, and gives way to an IBAN of its country's length that begins within.
+        within = any(_iban_end(text, m.start(), end + 40) for m in IBAN_HEAD.finditer(text, begin + 1, end))
+        own = [e for e in [_iban_end(text, begin, end)] if e]
+        return own if within else [*own, end]
+    country = re.match(r"\+(\d{1,3})[ .(-]", text[begin:end])
+    # Without a separator the code is the one that gives a whole number at a group's end; the greedy match comes last.
+    own = [e for e in edges if (PHONE_LENGTHS.get(country[1]) == len(_digits(text[begin:e])) - len(country[1]) if country else text[begin] == "+" and _calling_code(_digits(text[begin:e])))]
+    return [*own, end]
+
+
+def _valid_card(digits: str) -> bool:
+    return _luhn(digits[:-1]) == int(digits[-1]) and len(set(digits)) > 1
+
+
+def _card_end(text: str, begin: int, end: int, greedy: bool) -> tuple[int | None, tuple[int, int] | None]:
+    """Where the card that begins here ends, if one does, and the first card of the match that begins after a hyphen.
+
+    Of the valid numbers between group boundaries, printed as cards are and of a known issuer come first, then those printed as cards are,
+    16 digits and fewer before more; then the match as a whole, if `greedy`. A number gives way to a better one that overlaps it.
+    """
+    chain = CHAIN.match(text, begin, end + CARD_WIDTH)
+    groups = [m.span() for m in GROUP.finditer(text, begin, chain.end())]
+    found = []
+    for i, (low, first) in enumerate(groups):
+        if low >= end:
+            break
+        # Printed cards begin with four digits or have no groups, and have five groups at most.
+        ends = {high for _, high in groups[i : i + 5]} if first - low == 4 or first - low >= 13 else set()
+        for high in ends | ({end} if low == begin and greedy else set()):
+            regular = CARD_GROUPS.fullmatch(text, low, high)
+            if not regular and (low, high) != (begin, end) or text[high : high + 1].isalnum() or text[high : high + 1] == "_":
+                continue
+            digits = _digits(text[low:high])
+            if _valid_card(digits) and (regular or greedy):
+                known = CARD_ISSUERS.fullmatch(digits)
+                found.append(((not (regular and known), not regular, len(digits) > 16, -len(digits)), low, high))
+    best = min((c for c in found if c[1] == begin), default=None)
+    if best and any(c[0][:2] < best[0][:2] and begin < c[1] < best[2] for c in found):
+        best = None
+    after = min(((low, high) for rank, low, high in found if low > begin and text[low - 1] == "-" and not rank[0]), default=None)
+    return (best[2] if best else None), (None if best else after)
+
+
 class Pseudonymizer:
     """The shapes as one pattern, and the moves under a key."""
 
     def __init__(self, key: bytes):
         self.feistel = Feistel(key)
         self.pattern = re.compile("|".join(f"(?P<{kind}>{shape})" for kind, shape in SHAPES.items()))
+        self.shapes = {kind: re.compile(shape) for kind, shape in SHAPES.items()}
         # Every shape has a digit, an at-sign or a long hexadecimal number; most texts have none of these.
         self.worth = re.compile(r"\d|@|[0-9a-fA-F]{16}")
 
     def spans(self, text: str) -> list[tuple[str, int, int, str]]:
         """(kind, begin, end, pseudonym) of what is replaced, in order."""
-        out, at = [], 0
+        out, at, failed, later = [], 0, 0, None
         if not self.worth.search(text):
             return out
-        while m := self.pattern.search(text, at):
-            moved = MOVES[m.lastgroup](self.feistel, m.group())
-            if moved is None:
-                # Not valid under its shape; it may be under a later one.
-                for kind in list(SHAPES)[list(SHAPES).index(m.lastgroup) + 1 :]:
-                    other = re.compile(SHAPES[kind]).match(text, m.start())
-                    moved = other and MOVES[kind](self.feistel, other.group())
-                    if moved:
-                        out.append((kind, m.start(), other.end(), moved))
-                        break
-                at = out[-1][2] if moved else m.end()
+        while True:
+            m = self.pattern.search(text, at)
+            if later and later[0] >= at and (m is None or m.start() >= later[0]):
+                # A card after a hyphen, where the shape does not begin.
+                begin, end = later
+                out.append(("card", begin, end, _card(self.feistel, text[begin:end])))
+                at, later = end, None
+                continue
+            if m is None:
+                return out
+            # What is not valid under its shape may be under a later one.
+            for kind in list(SHAPES)[list(SHAPES).index(m.lastgroup) :]:
+                other = m if kind == m.lastgroup else self.shapes[kind].match(text, m.start())
+                if not other:
+                    continue
+                if kind == "card":
+                    end, later = _card_end(text, m.start(), other.end(), m.start() >= failed)
+                    ends = [end] if end else []
+                else:
+                    ends = _ends(kind, text, m.start(), other.end())
+                moved = next(((e, p) for e in ends if (p := MOVES[kind](self.feistel, text[m.start() : e]))), None)
+                if moved:
+                    out.append((kind, m.start(), *moved))
+                    at = moved[0]
+                    break
+                failed = max(failed, other.end())
             else:
-                out.append((m.lastgroup, m.start(), m.end(), moved))
-                at = m.end()
-        return out
+                at = m.start() + 1
 
 
 def pseudonymize(docs: DataFrame, key: str) -> DataFrame:

@@ -295,6 +295,29 @@ def test_pseudonyms_keep_format_validity_and_links(spark, docs, empty):
     assert pseudonyms.pseudonymize(docs, key).count() == docs.count() and pseudonyms.pseudonymize(empty, key).count() == 0
 
 
+def test_pseudonyms_of_values_with_neighbours():
+    worker = pseudonyms.Pseudonymizer(b"0123456789abcdef")
+    spans = lambda text: [(k, text[b:e], p) for k, b, e, p in worker.spans(text)]
+    digits = lambda text: re.sub(r"\D", "", text)
+    ((_, _, alone),) = spans("4111111111111111")
+    card = "4111 1111 1111 1111"
+    for before in ("", "2 ", "12 ", "2024 ", "x 3-", "12/27 ", "2023-02-30 "):
+        for after in ("", *(f" {n:02d}/27" for n in range(1, 13)), *(f" {n}" for n in range(100, 130)), "-12", " 12.27", " 2027-05"):
+            for shown in (card, card.replace(" ", ""), card.replace(" ", "-")):
+                got = spans(f"card {before}{shown}{after}")
+                assert [(k, t, digits(p)) for k, t, p in got] == [("card", shown, alone)], (before, shown, after)
+    assert [t for _, t, _ in spans("3782 822463 10005 12/27 1234")] == ["3782 822463 10005"]
+    assert [t for _, t, _ in spans("5500 0000 0000 0004 4111 1111 1111 1111")] == ["5500 0000 0000 0004", card]
+    assert [k for k, _, _ in spans("12 123-45-6789 5500")] == ["ssn"]
+    (_, _, plain), packed = spans("BE68539007547034")[0], "BE68 5390 0754 7034"
+    for text in (f"{packed} BIC", "BE68539007547034 EUR", f"{packed} GEBA BE BB", f"XX99 1234 1234 {packed} 12"):
+        assert [(k, t.replace(" ", ""), p.replace(" ", "")) for k, t, p in spans(text)] == [("iban", "BE68539007547034", plain)]
+    ((_, _, phone),) = spans("call (217) 555-7713")
+    for text in ("+1 (217) 555-7713", "+1 (217) 555-7713 12 Main", "+1 217 555 7713 4411", "+12175557713", "+1-217-555-7713 22"):
+        ((kind, shown, moved),) = spans(f"call {text} st")
+        assert (kind, digits(shown), digits(moved)) == ("phone", "12175557713", "1" + digits(phone)), text
+
+
 def test_feistel_is_a_permutation():
     f = pseudonyms.Feistel(b"0123456789abcdef")
     for size in (1, 2, 7, 100, 730):
