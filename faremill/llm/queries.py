@@ -29,8 +29,12 @@ def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after four commits: all documents counted by one tokenizer; the same batch sent again; the texts that aren't
-    English counted by a second tokenizer version in place of the first; exact copies of a smaller doc_id deleted."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id IS NOT NULL")
+    English counted by a second tokenizer version in place of the first; exact copies of a smaller doc_id deleted.
+
+    Rows without a doc_id can't be in a ledger, which is kept by doc_id. Each is a document of its own, a copy of none, and is added
+    to the totals under the version that holds for its language."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, nameless = table.where("doc_id IS NOT NULL"), table.where("doc_id IS NULL")
     scratch = Scratch(spark)
     ledger = tokencounts.TokenLedger(spark, f"{scratch.root}/ledger")
     count = lambda rows, name: tokencounts.count_tokens(rows, public_tokenizers.path(f"{name}.tiktoken"), public_tokenizers.PATTERN)
@@ -47,7 +51,12 @@ def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = prints.join(least, ["a", "b"]).where("doc_id > first_id").select("doc_id").distinct()
     gone = copies.select("doc_id", *(F.lit(None).cast("string").alias(c) for c in ("source", "lang", "version")), F.lit(0).cast("long").alias("tokens"))
     ledger.commit("0003-copies", gone.withColumn("op", F.lit("delete")))
-    return ledger.totals()
+    parts = [(nameless.where("lang = 'en'"), first), (nameless.where("lang IS DISTINCT FROM 'en'"), second)]
+    out = ledger.totals()
+    for rows, version in parts:
+        more = count(rows, version).withColumn("version", F.lit(version)).groupBy(*tokencounts.GROUP)
+        out = out.unionByName(more.agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens")))
+    return out.groupBy(*tokencounts.GROUP).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -90,7 +90,7 @@ class TokenLedger:
         signed.select(*columns).write.mode("overwrite").parquet(f"{self.path}/entries/{batch}")
         entries = self.spark.read.schema(ENTRY).parquet(f"{self.path}/entries/{batch}")
         sums = entries.groupBy(*GROUP).agg(F.sum(F.col("sign").cast("long")).alias("documents"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens"))
-        sums.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/sums/{batch}")
+        sums.write.mode("overwrite").parquet(f"{self.path}/sums/{batch}")
         files, path, jvm = self._files()
         files.create(jvm.org.apache.hadoop.fs.Path(path, batch), False).close()
         return True

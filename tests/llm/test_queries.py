@@ -61,6 +61,13 @@ def test_token_rollups_equal_a_recount(spark, tables):
     assert {(r.source, r.lang, r.version): [r.documents, r.tokens] for r in got} == dict(want)
 
 
+def test_token_rollups_hold_rows_without_an_id(spark, tmp_path):
+    rows = [(1, "one two", "s", "en"), (None, "one two", "s", "en"), (None, "un deux", "s", "fr"), (None, "tres", "t", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.source, r.lang, r.version): r.documents for r in QUERIES["op8_token_rollups"](spark, str(tmp_path)).collect()}
+    assert got == {("s", "en", "byte_bpe_50k"): 2, ("s", "fr", "byte_bpe_multi_50k"): 1, ("t", None, "byte_bpe_multi_50k"): 1}
+
+
 def test_languages_on_held_out_documents(spark, tables):
     truth = dict(tables.execute("SELECT doc_id, lang FROM documents").fetchall())
     got = [r for r in QUERIES["op4_centroid_langid"](spark, SF_DIR).collect() if r.held_out]
