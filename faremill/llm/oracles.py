@@ -47,4 +47,28 @@ ORACLES = {
         SELECT doc_id, any_value(n) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
         FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id
     """,
+    "op11_length_strata": r"""
+        WITH own AS (
+            SELECT row_number() OVER () AS n, doc_id,
+                regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+        ), docs AS (SELECT * FROM own WHERE len(w) > 0
+        ), total AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM docs
+        ), asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+        ), postings AS (
+            SELECT n, any_value(doc_id) AS doc_id, any_value(size) AS size, term, count(*) AS tf
+            FROM (SELECT n, doc_id, len(w) AS size, unnest(w) AS term FROM docs) SEMI JOIN asked USING (term) GROUP BY n, term
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM postings, total GROUP BY term
+        ), scored AS (
+            SELECT item_id, n, any_value(doc_id) AS doc_id,
+                CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * size * n_docs) // n_terms)))) AS BIGINT) AS score
+            FROM postings JOIN weights USING (term) JOIN asked USING (term), total GROUP BY item_id, n
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 10
+    """,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faremill.llm import decontam, knn, langid, linedup, neardup, notices, packing, pseudonyms, quality, tokencounts
+from faremill.llm import alignment, decontam, knn, langid, lexical, linedup, neardup, notices, packing, pseudonyms, quality, tokencounts, urls
 from faremill.llm.scratch import Scratch
 
 
@@ -59,6 +59,18 @@ def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy(*tokencounts.GROUP).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
 
 
+def op11_length_strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return lexical.top_documents(read("documents"), read("benchmark"), k=10)
+
+
+def op12_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words are counted in all documents; the pages' own URLs are what naive Bayes learns from."""
+    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    pages = read("pages")
+    return urls.judge(pages, urls.fit(pages, read("documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nnls_packing": _table("documents", lambda d: packing.pack(d, public_tokenizers.path("byte_bpe_50k.json"))),
     # The key of a deployment comes from its secret store; this one makes the query repeatable.
@@ -71,4 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_rollups": op8_token_rollups,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_runs": _table("documents", linedup.line_dedup_report),
+    "op11_length_strata": op11_length_strata,
+    "op12_host_words": op12_host_words,
+    "op13_galloping_alignment": _table("documents", lambda d: alignment.align_documents(d, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"))),
 }
