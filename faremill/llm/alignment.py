@@ -15,6 +15,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +28,11 @@ from faremill.llm.scratch import Scratch
 
 #: Characters of text in a chunk, or one text.
 CHUNK = 4_000_000
-#: Segments whose ids a task keeps.
-KEPT = 200_000
+#: Segments whose ids under B a task keeps from chunk to chunk, and the most characters of one.
+KEPT, KEPT_WIDTH = 200_000, 64
 #: Links of one group beyond which its pairs are counted instead of listed.
 LISTED = 4096
-#: A space after a character that is no whitespace begins a token under both tokenizers.
+#: A space after a character that is no whitespace begins a token of B.
 SEGMENT = re.compile(r"(?<=\S) ")
 
 
@@ -95,10 +96,10 @@ def common_ends(ends_a: np.ndarray, starts_a: np.ndarray, ends_b: np.ndarray, st
 
 
 class Tokenizers:
-    """Both tokenizers, and the ids of segments already seen.
+    """Both tokenizers, and B's ids of segments already seen.
 
-    Neither tokenizer has a token that goes on over a space behind a character that is no whitespace, so texts are cut there
-    and the parts' ids are the text's; for B that is read off its pieces, for A it follows from the pattern.
+    B has no piece that goes on over a space behind another character, so texts are cut there, each distinct segment is encoded once, and
+    the segments' ids are the text's.
     """
 
     def __init__(self, ranks_path: str, model_path: str):
@@ -107,44 +108,46 @@ class Tokenizers:
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
         self.encode_a = plain_encoder(ranks)
-        self.bytes_a = sorted(ranks, key=ranks.__getitem__)
-        if [ranks[t] for t in self.bytes_a] != list(range(len(ranks))):
+        bytes_a = sorted(ranks, key=ranks.__getitem__)
+        if [ranks[t] for t in bytes_a] != list(range(len(ranks))):
             raise ValueError(f"{ranks_path} must rank its tokens from 0 without gaps")
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         if any(re.search("[^▁]▁", p) for p in pieces):
             raise ValueError(f"{model_path} has pieces that go on over a space")
         byte = [re.fullmatch("<0x([0-9A-F]{2})>", p) for p in pieces]
-        self.bytes_b = [bytes([int(m[1], 16)]) if m else p.replace("▁", " ").encode() for m, p in zip(byte, pieces, strict=True)]
-        self.lengths = [np.array([len(t) for t in known], np.int64) for known in (self.bytes_a, self.bytes_b)]
-        self.kept: dict[str, tuple[list[int], list[int]] | None] = {}
+        bytes_b = [bytes([int(m[1], 16)]) if m else p.replace("▁", " ").encode() for m, p in zip(byte, pieces, strict=True)]
+        #: The bytes of every id of A, and of B.
+        self.bytes = (bytes_a, bytes_b)
+        self.lengths = [np.array([len(t) for t in known], np.int64) for known in self.bytes]
         # B puts a space before every text but the empty one.
-        self.space_b = self.model.piece_to_id("▁")
-
-    def _segment(self, segment: str) -> tuple[list[int], list[int]] | None:
-        """The ids of a space and the segment under A and B; nothing where their bytes aren't those of the segment."""
-        a = self.encode_a(" " + segment)
-        b = self.model.encode(segment) if segment else [self.space_b]
-        whole = (" " + segment).encode()
-        same = b"".join(map(self.bytes_a.__getitem__, a)) == whole and b"".join(map(self.bytes_b.__getitem__, b)) == whole
-        return (a, b) if same else None
-
-    def encode(self, text: str) -> tuple[list[int], list[int]] | None:
-        """Ids under A and B of a space and the text, or nothing where the bytes of either aren't those of the text."""
-        a, b = [], []
-        for segment in SEGMENT.split(text):
-            found = self.kept.get(segment, False)
-            if found is False:
-                found = self._segment(segment)
-                if len(self.kept) >= KEPT:
-                    self.kept.clear()
-                if len(segment) <= 64:
-                    self.kept[segment] = found
-            if found is None:
-                return None
-            a += found[0]
-            b += found[1]
-        return a, b
+        self.space_b = np.array([self.model.piece_to_id("▁")], np.int32).tobytes()
+        self.kept: dict[str, bytes] = {"": self.space_b}
+
+    def _ids_b(self, texts: list[str]) -> list[np.ndarray]:
+        """B's ids of each text, which is not empty."""
+        split = [SEGMENT.split(t) for t in texts]
+        if len(self.kept) > KEPT:
+            self.kept = {"": self.space_b}
+        missing = [s for s in set(chain.from_iterable(split)) if s not in self.kept]
+        found = self.model.encode(missing)
+        ids = np.fromiter(chain.from_iterable(found), np.int32).tobytes()
+        ends = np.cumsum([0, *(4 * len(f) for f in found)]).tolist()
+        self.kept.update((s, ids[a:b]) for s, a, b in zip(missing, ends[:-1], ends[1:], strict=True))
+        out = [np.frombuffer(b"".join(map(self.kept.__getitem__, parts)), np.int32) for parts in split]
+        for s in missing:
+            if len(s) > KEPT_WIDTH:
+                del self.kept[s]
+        return out
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids under A and B of a space and each text, which is not empty, or nothing where the bytes of either aren't those of the text."""
+        out = []
+        for text, b in zip(texts, self._ids_b(texts), strict=True):
+            a, whole = self.encode_a(" " + text), (" " + text).encode()
+            same = all(b"".join(map(known.__getitem__, ids)) == whole for known, ids in zip(self.bytes, (a, b.tolist()), strict=True))
+            out.append((np.array(a, np.int32), b) if same else None)
+        return out
 
 
 def _digits(size: int) -> np.ndarray:
@@ -172,17 +175,18 @@ class Aligner:
 
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers = tokenizers
-        self.base = len(tokenizers.bytes_b)
-        self.digits = [_digits(len(known)) for known in (tokenizers.bytes_a, tokenizers.bytes_b)]
+        self.base = len(tokenizers.bytes[1])
+        self.digits = [_digits(len(known)) for known in tokenizers.bytes]
 
     def align(self, texts: list[str | None]) -> tuple[list[dict], np.ndarray, np.ndarray]:
         """For each text its numbers, hash and pairs; the chunk's distinct pairs, as a * (ids of B) + b, and how many of the texts hold each."""
-        found = [self.tokenizers.encode(t) if t else None for t in texts]
+        encoded = iter(self.tokenizers.encode([t for t in texts if t]))
+        found = [next(encoded) if t else None for t in texts]
         sides, starts, ends = [], [], []
         for side in (0, 1):
-            parts = [f[side] if f else [] for f in found]
+            parts = [f[side] if f else np.zeros(0, np.int32) for f in found]
             sizes = [len(p) for p in parts]
-            ids = np.fromiter((i for p in parts for i in p), np.int64, sum(sizes))
+            ids = np.concatenate([*parts, np.zeros(0, np.int32)]).astype(np.int64)
             start = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
             end = np.cumsum(self.tokenizers.lengths[side][ids])
             before = np.concatenate([[0], end])[start[:-1]]
