@@ -22,8 +22,10 @@ from faremill.contracts import (
 )
 from faremill.operators.clean import INGESTED, PICKUP, derive_calendar, first_per_key, in_time_order
 from faremill.operators.enrich import TRIP_CODES, decode_codes, project
+from faremill.errors import NoLandedPeriodsError
+from faremill.sinks.ingest import BATCH, batch_number, landed_files, new_periods, write_manifest
 from faremill.sinks.tables import create_schema, write_table
-from faremill.sources.landing import LandedPeriod, LandingZone, scan_periods
+from faremill.sources.landing import LandedPeriod, LandingZone, landed_schemas, scan_periods
 
 PARTITIONS = ("year", "month")
 
@@ -86,6 +88,8 @@ class LakehouseConfig:
     # Silver and gold overwrite only the months in the window. A record's key fixes its month,
     # so repeats never straddle two of them, and a month can be rebuilt by itself.
     replace_partitions: bool = False
+    # Columns that the contract doesn't know: kept, where the table has them, or dropped.
+    unknown: str = "keep"
 
     @property
     def valid(self) -> PeriodRange:
@@ -98,20 +102,33 @@ class LakehouseConfig:
 
 def build_bronze(
     spark: SparkSession, cfg: LakehouseConfig, ingested_at: Column | None = None, mode: str | None = None
-) -> None:
-    """Landing zone to bronze table. The plan is scan, cast, write: no shuffle.
+) -> int:
+    """Landing zone to bronze table; the number of files taken in. The plan is scan, cast, write: no shuffle.
 
-    With `mode="append"` a later landing zone, such as resent records, joins the earlier ones.
+    Bronze is partitioned by batch. With `mode="append"` a later landing zone, such as resent records, joins the earlier ones, but for the files that an
+    earlier batch has: the same zone appended again changes nothing, and a run that broke off is taken up by the next. A file that changed since
+    is a new one; the repeats among its rows are for silver to drop. Otherwise the zone's files replace all batches.
     """
     create_schema(spark, cfg.schema, cfg.schema_location)
+    table, append = cfg.table(cfg.bronze_name), (mode or cfg.write_mode) == "append"
+    files = landed_files(spark, cfg.zone)
+    if not files:
+        raise NoLandedPeriodsError(f"none of {len(cfg.zone.expected())} expected periods landed under {cfg.zone.root}")
+    periods, new = new_periods(spark, table, files) if append else (None, files)
+    if not new:
+        return 0
+    batch, schemas = batch_number(new), landed_schemas(spark, cfg.zone, periods)
+    write_manifest(spark, table, new, batch)
     write_table(
-        bronze(spark, cfg.zone, cfg.contract, ingested_at),
-        cfg.table(cfg.bronze_name),
+        bronze(spark, cfg.zone, cfg.contract, ingested_at, cfg.unknown, schemas).withColumn(BATCH, F.lit(batch)),
+        table,
         cfg.contract,
         BRONZE_COMMENT,
-        mode=mode or cfg.write_mode,
+        partition_by=(BATCH,),
         provider=cfg.provider,
+        replace_partitions=append,
     )
+    return len(new)
 
 
 def build_silver(spark: SparkSession, cfg: LakehouseConfig) -> None:
@@ -122,7 +139,7 @@ def build_silver(spark: SparkSession, cfg: LakehouseConfig) -> None:
     small file into every month.
     """
     write_table(
-        silver(spark.table(cfg.table(cfg.bronze_name)), cfg.valid, cfg.key, cfg.order),
+        silver(spark.table(cfg.table(cfg.bronze_name)).drop(BATCH), cfg.valid, cfg.key, cfg.order),
         cfg.table(cfg.silver_name),
         cfg.contract,
         SILVER_COMMENT,

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faremill.contracts import TableContract
 from faremill.errors import SchemaDriftError
 from faremill.functions.text import sql_text
+from faremill.sinks.staging import FILE_FORMATS, stage, switch
 
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -23,19 +23,8 @@ def comment_on_table(spark: SparkSession, table: str, comment: str) -> None:
     spark.sql(f"COMMENT ON TABLE {table} IS {sql_text(comment)}")
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """A session setting for the length of one write; `insertInto` doesn't take it as an option."""
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _aligned(df: DataFrame, table: str) -> DataFrame:
-    """`df` with the table's columns in the table's order; columns it lacks are NULL.
+    """`df` with the table's columns and types in the table's order; columns it lacks are NULL.
 
     A column the table lacks is an error by name: appending would have to drop its values.
     """
@@ -46,7 +35,7 @@ def _aligned(df: DataFrame, table: str) -> DataFrame:
         raise SchemaDriftError(f"table {table} has no columns {new}")
     return df.select(
         *[
-            F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
+            (F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in fields
         ]
     )
@@ -70,48 +59,48 @@ def write_table(
     Column comments travel as field metadata, because a partition column can't be altered
     after the fact. `rebalance` asks AQE for files of the advisory size: rows are shuffled by
     the partition columns, and a partition too big for one task is split over several.
-    `replace_partitions` overwrites only the partitions `df` has rows for, which keeps the
-    other months readable and safe when a rerun of one month fails; the whole-table overwrite
-    of a Parquet table isn't atomic. With `emptied`, a condition on the partition columns, the partitions under it that
-    get no rows are dropped after the write. `provider` is the table format; unset, Spark's default.
+    `provider` is the table format; unset, Spark's default, which must be one of files.
+
+    A partitioned table of files is overwritten by staging: new files are written beside the old ones and partitions switched to them
+    once all are there (see `faremill.sinks.staging`), so a write that fails leaves the table readable as it was.
+    `replace_partitions` leaves alone the partitions that `df` has no rows for, but for those under `emptied`, a condition on the
+    partition columns, which are dropped. A table without partitions, or whose columns or types change, is overwritten by
+    Spark, which is not atomic.
     """
     spark = df.sparkSession
     out = contract.describe(df)
     if rebalance and partition_by:
         out = out.hint("rebalance", *partition_by)
     exists = spark.catalog.tableExists(table)
-    if exists and replace_partitions:
-        aligned = _aligned(out, table)
-        if emptied is not None:
-            # What the write itself produced; no second run of the plan.
-            written = Observation()
-            aligned = aligned.observe(written, F.collect_set(F.struct(*partition_by)).alias("partitions"))
-        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            aligned.write.mode("overwrite").insertInto(table)
-        if emptied is not None:
-            _drop_emptied(spark, table, partition_by, emptied, {tuple(r) for r in written.get["partitions"]})
+    staged = bool(partition_by) and mode == "overwrite" and (provider or "parquet").lower() in FILE_FORMATS
+    if staged and (not exists or not replace_partitions and not _same_columns(spark, table, out)):
+        # An empty table first, so that a broken-off write leaves one that can be written again.
+        _create(out.limit(0), table, "overwrite", partition_by, provider)
+    if staged:
+        folder = stage(_aligned(out, table), table, partition_by, provider)
+        switch(spark, table, partition_by, folder, emptied if replace_partitions else F.lit(True))
+    elif exists and replace_partitions:
+        _aligned(out, table).writeTo(table).overwritePartitions()
     elif exists and mode == "append":
         _aligned(out, table).write.insertInto(table)
     else:
-        writer = out.write.mode(mode)
-        if provider:
-            writer = writer.format(provider)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(table)
+        _create(out, table, mode, partition_by, provider)
     comment_on_table(spark, table, comment)
 
 
-def _drop_emptied(spark: SparkSession, table: str, by: Sequence[str], emptied: Column, written: set[tuple]) -> None:
-    """Drop the partitions under `emptied` that the write had no rows for."""
-    types = {f.name: f.dataType for f in spark.table(table).schema.fields}
-    there = spark.sql(f"SHOW PARTITIONS {table}")
-    values = F.str_to_map("partition", F.lit("/"), F.lit("="))
-    there = there.select(*[values[c].cast(types[c]).alias(c) for c in by]).where(emptied)
-    for row in there.collect():
-        if tuple(row) not in written:
-            spec = ", ".join(f"{c} = {sql_text(str(v))}" for c, v in zip(by, row))
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+def _create(df: DataFrame, table: str, mode: str, partition_by: Sequence[str], provider: str | None) -> None:
+    writer = df.write.mode(mode)
+    if provider:
+        writer = writer.format(provider)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
+
+
+def _same_columns(spark: SparkSession, table: str, df: DataFrame) -> bool:
+    """Whether a table has just the frame's columns and types, with the same descriptions."""
+    shape = lambda schema: sorted((f.name.lower(), f.dataType.simpleString(), f.metadata.get("comment") or "") for f in schema.fields)
+    return shape(spark.table(table).schema) == shape(df.schema)
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:

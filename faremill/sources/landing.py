@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from itertools import product
 
@@ -21,6 +21,8 @@ from faremill.errors import MissingColumnError, NoLandedPeriodsError, SchemaDrif
 PATH_TEMPLATE = "{kind}/{kind}_tripdata_{year:04d}-{month:02d}.parquet"
 
 SOURCE_COL = "source_file_path"
+#: Files whose periods one relation tells apart; the list of them is broadcast, some 5 MB.
+FILES_AT_ONCE = 20_000
 
 
 @dataclass(frozen=True, order=True)
@@ -29,6 +31,14 @@ class LandedPeriod:
     year: int
     month: int
     path: str
+    # The files to read, where that isn't everything at the path.
+    only: tuple[str, ...] = field(default=(), compare=False)
+    # The period's files by the names that the reader gives them, once its footers were read.
+    files: tuple[str, ...] = field(default=(), compare=False)
+
+    @property
+    def paths(self) -> tuple[str, ...]:
+        return self.only or (self.path,)
 
     @property
     def key(self) -> str:
@@ -58,16 +68,19 @@ class LandingZone:
         return f"{self.root.rstrip('/')}/{self.template.format(kind=kind, year=year, month=month)}"
 
 
-def landed_schemas(spark: SparkSession, zone: LandingZone) -> dict[LandedPeriod, StructType]:
-    """Schema of every expected period that has landed, all files' footers merged; absent periods are left out.
+def landed_schemas(
+    spark: SparkSession, zone: LandingZone, periods: Sequence[LandedPeriod] | None = None
+) -> dict[LandedPeriod, StructType]:
+    """Schema of every expected period (or of those given) that has landed, all files' footers merged; absent periods are left out.
 
     Only metadata is read. Files of one period whose types disagree are a `SchemaDriftError`. The reads go out side by side, since each of them waits on the
     object store for one footer.
     """
 
-    def footer(period: LandedPeriod) -> StructType | None:
+    def footer(period: LandedPeriod) -> tuple[LandedPeriod, StructType] | None:
         try:
-            return spark.read.option("mergeSchema", True).parquet(period.path).schema
+            landed = spark.read.option("mergeSchema", True).parquet(*period.paths)
+            return replace(period, files=tuple(landed.inputFiles())), landed.schema
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return None
@@ -77,10 +90,9 @@ def landed_schemas(spark: SparkSession, zone: LandingZone) -> dict[LandedPeriod,
                 raise SchemaDriftError(f"the files of {period.kind} {period.key} disagree about a column's type") from e
             raise
 
-    periods = zone.expected()
     with ThreadPoolExecutor(max_workers=8) as pool:
-        schemas = list(pool.map(footer, periods))
-    return {p: s for p, s in zip(periods, schemas) if s is not None}
+        found = list(pool.map(footer, zone.expected() if periods is None else periods))
+    return dict(f for f in found if f is not None)
 
 
 def _as(landed: StructField, wanted: DataType) -> Column:
@@ -117,10 +129,37 @@ def conform(df: DataFrame, contract: TableContract, unknown: str = "keep") -> Da
 
 def read_landed(
     spark: SparkSession, schemas: Mapping[LandedPeriod, StructType]
-) -> Iterator[tuple[LandedPeriod, DataFrame]]:
-    """One relation per landed period, so that a row's period is known from the read and not from a path's text."""
+) -> Iterator[tuple[list[LandedPeriod], DataFrame]]:
+    """One relation for all landed periods of one schema, so a plan grows with the schemas and not with the periods.
+
+    Periods of more than FILES_AT_ONCE files together are dealt to several relations. A period with folders below its path is read by itself, since
+    their names may be columns.
+    """
+    groups: dict[str, list[LandedPeriod]] = {}
     for period, schema in schemas.items():
-        yield period, spark.read.schema(schema).parquet(period.path)
+        flat = len({f.rpartition("/")[0] for f in period.files}) == 1
+        groups.setdefault(schema.json() if flat else f"{period}", []).append(period)
+    for periods in groups.values():
+        while periods:
+            held, some = 0, []
+            while periods and (not some or held + len(periods[0].files) <= FILES_AT_ONCE):
+                held += len(periods[0].files)
+                some.append(periods.pop(0))
+            yield some, spark.read.schema(schemas[some[0]]).parquet(*(path for p in some for path in p.paths))
+
+
+def with_period_path(df: DataFrame, periods: Sequence[LandedPeriod]) -> DataFrame:
+    """The landed rows with the path their period was configured to land at.
+
+    Which period a row's file is of is known from the names under which the reader listed the period's files; no path is parsed. A file
+    that landed since then has its own name for a path.
+    """
+    if len(periods) == 1:
+        return df.withColumn(SOURCE_COL, F.lit(periods[0].path))
+    spark = df.sparkSession
+    index = spark.createDataFrame([(f, p.path) for p in periods for f in p.files], "_landed_file string, _landed_path string")
+    named = df.withColumn("_landed_file", F.input_file_name()).join(F.broadcast(index), "_landed_file", "left")
+    return named.withColumn(SOURCE_COL, F.coalesce("_landed_path", "_landed_file")).drop("_landed_file", "_landed_path")
 
 
 def scan_periods(
@@ -132,7 +171,7 @@ def scan_periods(
 ) -> DataFrame:
     """All landed periods under the contract, each with the path it was configured to land at.
 
-    Every period is cast to the contract before the union, so `double` and `bigint` months meet as `bigint`. Missing columns become NULL.
+    Every schema is cast to the contract before the union, so `double` and `bigint` months meet as `bigint`. Missing columns become NULL.
     Raises when nothing landed, a required column is nowhere, or a drift has no safe cast.
     """
     schemas = landed_schemas(spark, zone) if schemas is None else schemas
@@ -143,7 +182,7 @@ def scan_periods(
     if lost:
         raise MissingColumnError(f"no landed file has the required columns {lost}")
 
-    frames = [conform(df.withColumn(SOURCE_COL, F.lit(p.path)), contract, unknown) for p, df in read_landed(spark, schemas)]
+    frames = [conform(with_period_path(df, periods), contract, unknown) for periods, df in read_landed(spark, schemas)]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     filled = contract.struct().fields
     have = {c.lower() for c in union.columns}
@@ -169,11 +208,11 @@ def read_enforced(spark: SparkSession, schema: StructType, *paths: str) -> DataF
 def scan_declared(spark: SparkSession, zone: LandingZone, schema: StructType) -> DataFrame:
     """All landed periods under one declared schema, also where a type has to narrow.
 
-    Each period is read as its footers say, then cast; columns it lacks are NULL, others are not read.
+    Periods are read as their footers say, then cast; columns it lacks are NULL, others are not read.
     Text where another type is declared raises `SchemaDriftError`.
     """
     frames = []
-    for period, df in read_landed(spark, landed_schemas(spark, zone)):
+    for periods, df in read_landed(spark, landed_schemas(spark, zone)):
         have = {f.name.lower(): f for f in df.schema.fields}
         columns = []
         for field in schema.fields:
@@ -181,7 +220,7 @@ def scan_declared(spark: SparkSession, zone: LandingZone, schema: StructType) ->
             if f is None:
                 columns.append(F.lit(None).cast(field.dataType).alias(field.name))
             elif isinstance(f.dataType, StringType) and not isinstance(field.dataType, StringType):
-                raise SchemaDriftError(f"column {f.name} of {period.key} landed as text; declared is {field.dataType.simpleString()}")
+                raise SchemaDriftError(f"column {f.name} of {periods[0].key} landed as text; declared is {field.dataType.simpleString()}")
             else:
                 columns.append(_as(f, field.dataType).alias(field.name))
         frames.append(df.select(*columns))
@@ -193,15 +232,14 @@ def scan_declared(spark: SparkSession, zone: LandingZone, schema: StructType) ->
 def period_coverage(spark: SparkSession, zone: LandingZone) -> DataFrame:
     """Every expected period with `landed` and its number of rows (0 when absent).
 
-    Each landed period is counted by itself, from its footers where the format has counts there.
+    No column is read; the rows of periods of one schema are counted together, by file.
     """
     schemas = landed_schemas(spark, zone)
-    shape = "kind string, year int, month int, landed boolean, rows long"
-    absent = [(p.kind, p.year, p.month, False, 0) for p in zone.expected() if p not in schemas]
-    counted = [
-        df.agg(F.count("*").alias("rows")).select(
-            F.lit(p.kind).alias("kind"), F.lit(p.year).alias("year"), F.lit(p.month).alias("month"), F.lit(True).alias("landed"), "rows"
-        )
-        for p, df in read_landed(spark, schemas)
-    ]
-    return reduce(DataFrame.unionByName, counted, spark.createDataFrame(absent, shape))
+    expected = [(p.kind, p.year, p.month, p in schemas, p.path) for p in zone.expected()]
+    listed = spark.createDataFrame(expected, "kind string, year int, month int, landed boolean, path string")
+    counted = spark.createDataFrame([], "counted_path string, rows long")
+    for periods, df in read_landed(spark, schemas):
+        by_path = with_period_path(df.select(), periods).groupBy(F.col(SOURCE_COL).alias("counted_path"))
+        counted = counted.unionByName(by_path.agg(F.count("*").alias("rows")))
+    rows = F.coalesce("rows", F.lit(0)).alias("rows")
+    return listed.join(counted, F.col("path") == F.col("counted_path"), "left").select("kind", "year", "month", "landed", rows)

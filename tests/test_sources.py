@@ -1,9 +1,13 @@
+import os
 from datetime import datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
-from faremill import TRIP_CONTRACT, MissingColumnError, NoLandedPeriodsError, SchemaDriftError
+from faremill import TRIP_CONTRACT, MissingColumnError, NoLandedPeriodsError, SchemaDriftError, TableContract
 from faremill.sources import (
     LandingZone,
     drift_table,
@@ -14,6 +18,7 @@ from faremill.sources import (
     scan_periods,
     schema_drift,
 )
+from faremill.sources import landing
 
 
 @pytest.fixture
@@ -110,10 +115,52 @@ def test_lineage_is_the_landed_path(spark, zone, land):
     assert got == {"yellow_tripdata_2023-01.parquet", "yellow_tripdata_2023-02.parquet"}
 
 
-def test_one_relation_per_period(spark, zone, land):
+def test_periods_of_one_schema_are_one_relation(spark, zone, land):
     land(1)
     land(3)
-    assert sorted(p.month for p, _ in read_landed(spark, landed_schemas(spark, zone))) == [1, 3]
+    ((periods, df),) = read_landed(spark, landed_schemas(spark, zone))
+    assert [p.month for p in periods] == [1, 3] and df.count() == 4
+
+
+@pytest.fixture(scope="module")
+def many_periods(tmp_path_factory):
+    """480 periods of three schemas below a root whose name has to be written in another way in a URI; some are folders of files."""
+    root = tmp_path_factory.mktemp("la nd%20ü")
+    zone = LandingZone(str(root), ["yellow", "green"], range(2000, 2020), range(1, 13))
+    (root / "yellow").mkdir()
+    (root / "green").mkdir()
+    tables = [
+        pa.table({"VendorID": pa.array([1, 2], pa.int64())}),
+        pa.table({"VendorID": pa.array([1], pa.int32()), "extra": pa.array([1.0])}),
+        pa.table({"VendorID": pa.array([3.0, float("nan"), 5.0])}),
+    ]
+    rows = {}
+    for i, p in enumerate(zone.expected()):
+        if i % 7 == 5:
+            os.mkdir(p.path)
+            for part in ("data one.parquet", "data%20two.parquet"):
+                pq.write_table(tables[i % 3], f"{p.path}/{part}")
+        else:
+            pq.write_table(tables[i % 3], p.path)
+        rows[p] = tables[i % 3].num_rows * (2 if i % 7 == 5 else 1)
+    return zone, rows
+
+
+def test_a_plan_has_one_relation_per_schema(spark, many_periods):
+    zone, rows = many_periods
+    contract = TableContract(tuple(c for c in TRIP_CONTRACT.columns if c.name in ("VendorID", "extra", "source_file_path")))
+    df = scan_periods(spark, zone, contract)
+    assert plan_of(df).count("FileScan parquet") == 3
+    counts = {r["source_file_path"]: r["count"] for r in df.groupBy("source_file_path").count().collect()}
+    assert counts == {p.path: n for p, n in rows.items()}
+    assert {(r.kind, r.year, r.month, r.rows) for r in period_coverage(spark, zone).collect()} == {(p.kind, p.year, p.month, n) for p, n in rows.items()}
+
+
+def test_relations_of_few_files_give_the_same_rows(spark, many_periods, monkeypatch):
+    zone, rows = many_periods
+    few = LandingZone(zone.root, ["green"], [2000, 2001], range(1, 13))
+    monkeypatch.setattr(landing, "FILES_AT_ONCE", 3)
+    assert {(r.year, r.month, r.rows) for r in period_coverage(spark, few).collect()} == {(p.year, p.month, rows[p]) for p in few.expected()}
 
 
 @pytest.mark.parametrize("name", ["with space", "ünïcode%20x", "plain"])
