@@ -504,6 +504,12 @@ positive AS (SELECT year, month, round(CAST(sum(CAST(total_amount AS DECIMAL(20,
     ),
     "partitioned_roundtrip": _with(GOLD, "SELECT * FROM gold"),
     "column_dictionary": _column_dictionary(),
+    "repeated_ingest": _with(
+        LANDING,
+        "SELECT source_file_path AS source_file, count(*) AS trips, CAST(sum(CAST(total_amount AS DECIMAL(20,6))) AS DOUBLE) AS amount, true AS in_manifest FROM "
+        "(SELECT source_file_path, total_amount FROM landed UNION ALL SELECT source_file_path, total_amount FROM landed_again) GROUP BY 1",
+    ),
+    "staged_rebuild": _with(SILVER, f"SELECT * EXCLUDE (congestion_surcharge, source_file_path, {IDS}) FROM silver"),
 }
 ORACLES["chargeback_impact_one_pass"] = ORACLES["chargeback_impact"]
 ORACLES["revenue_report_sql"] = ORACLES["revenue_report"]

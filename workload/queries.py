@@ -22,11 +22,13 @@ from faremill.contracts import (
     TRIP_CONTRACT,
     VENDOR_CODES,
     CodeMap,
+    PeriodRange,
 )
 from faremill.functions import decode, money_label, month_label
 from faremill.functions.money import exact_avg, exact_sum
 from faremill.operators.clean import PICKUP
 from faremill.sinks import column_dictionary, read_table
+from faremill.sinks.ingest import committed_files
 from faremill.sources import (
     conform,
     landed_schemas,
@@ -313,6 +315,27 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, cfg.table(cfg.gold_name))
 
 
+def repeated_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze after both batches were appended a second time: rows by file, and the files that the manifest has for them."""
+    cfg = lakehouse(spark, sf_dir)
+    for n, zone in ((1, cfg.zone), (2, resent_zone(land(spark, sf_dir)))):
+        plans.build_bronze(spark, replace(cfg, zone=zone), F.lit(INGESTED[n]).cast("timestamp_ntz"), mode="append")
+    table = cfg.table(cfg.bronze_name)
+    rows = read_table(spark, table).groupBy(file_name().alias("source_file")).agg(F.count("*").alias("trips"), exact_sum("total_amount").alias("amount"))
+    # A landed path is a folder of files here.
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    files = committed_files(spark, table).groupBy(F.substring_index(folder, "/", -3).alias("source_file")).agg((F.count("*") > 0).alias("in_manifest"))
+    return rows.join(files, "source_file", "left")
+
+
+def staged_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver built whole, then built again for one of its months by itself, from the same bronze."""
+    cfg = lakehouse(spark, sf_dir)
+    plans.build_silver(spark, cfg)
+    plans.build_silver(spark, replace(cfg, window=PeriodRange.of([YEAR], [3]), replace_partitions=True))
+    return read_table(spark, cfg.table(cfg.silver_name)).drop("cbd_fee", "congestion_surcharge", "source_file_path", *RECORD_ID, "l_linenumber")
+
+
 def column_dictionary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the catalog says of each gold column, and how many values the table holds in it."""
     cfg = shared_lakehouse(spark, sf_dir)
@@ -390,4 +413,6 @@ QUERIES: dict[str, Query] = {
     "sink_roundtrip": sink_roundtrip,
     "partitioned_roundtrip": partitioned_roundtrip,
     "column_dictionary": column_dictionary_query,
+    "repeated_ingest": repeated_ingest,
+    "staged_rebuild": staged_rebuild,
 }
