@@ -3,7 +3,8 @@
 Numbers and dates are found by their shape, validated (check digits, ranges, the calendar) and moved by a keyed Feistel
 permutation within all values of their format: a card number becomes a valid card number, a date a
 date. Equal values become equal pseudonyms in every document, however they are punctuated, and no two values
-of a format meet. What fails its validation is left as it is.
+of a format meet. What fails its validation is left as it is. A date with slashes is read with the day first, and with the month first only
+where it has no other reading; days up to the 12th stay among themselves, so a pseudonym is read the same way.
 
 A shape may take in a neighbour, such as a card's expiry. So a match is also tried at its shorter ends, and what
 fails is searched again from its next group on.
@@ -15,19 +16,22 @@ import datetime
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Letters and digits that one permutation takes; longer values go through it in parts that depend on each other.
+WIDTH = 64
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1).toordinal(), 73049
 
 # The shapes that are looked for, by kind, in the order in which they are tried.
 SHAPES = {
     "email": r"(?<![\w.+-])[\w+-]+(?:\.[\w+-]+){0,8}@(?:[A-Za-z0-9-]+\.){1,8}[A-Za-z]{2,24}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "secret": r"(?i:(?<=token = \")|(?<=key = \")|(?<=secret = \")|(?<=password = \"))[0-9a-f]{16,128}(?=\")",
+    "secret": r"",  # see SECRET_NAMES
     "ipv4": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.]*\d)",
     "date": r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -35,6 +39,12 @@ SHAPES = {
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])",
 }
 
+# Names that a secret is assigned to, and what stands between: a quote that ends the name, a blank, the sign, a blank, a quote.
+SECRET_NAMES = ("token", "key", "secret", "password", "passwd", "pwd")
+SECRET_BETWEEN = (("", r"[\"']"), ("", " "), ("[=:]",), ("", " "), ("", r"[\"']"))
+_before = "|".join(f"(?<={name}{''.join(parts)})" for name in SECRET_NAMES for parts in product(*SECRET_BETWEEN))
+SHAPES["secret"] = rf"(?<=[\"'=: ])(?=[0-9A-Za-z]{{16}})(?i:{_before})[0-9A-Za-z]{{16,128}}(?![\w+/-])"
+
 #: Lengths of IBANs by country, and of numbers after a calling code where all have one length.
 IBAN_COUNTRIES = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
@@ -95,26 +105,53 @@ def _refill(shape: str, characters: str, kept: str = r"[0-9]") -> str:
 
 
 def _mixed(f: Feistel, text: str, tweak: str) -> str:
-    """Every digit becomes a digit and every letter a-z a letter of its case; other characters stay."""
+    """Every digit becomes a digit and every letter a-z a letter of its case; other characters stay.
+
+    A value of more than WIDTH letters and digits is moved a part at a time, first from the front, each part under a tweak of all
+    parts before it, then from the back, each under one of the moved parts behind it: any change of the value changes every part.
+    """
     classes = [("0123456789" if c.isdigit() else "abcdefghijklmnopqrstuvwxyz" if c.islower() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ", i) for i, c in enumerate(text) if c.isascii() and c.isalnum()]
-    value, size = 0, 1
-    for letters, i in classes:
-        value, size = value * len(letters) + letters.index(text[i]), size * len(letters)
     # The format, not only its size, tells one permutation from another.
     shape = "".join("9" if c.isascii() and c.isdigit() else "a" if c.isascii() and c.isalpha() else c for c in text)
-    value, out = f.move(value, size, f"{tweak}{shape}"), list(text)
-    for letters, i in reversed(classes):
-        value, rest = divmod(value, len(letters))
-        out[i] = letters[rest]
+    if len(classes) > WIDTH:
+        tweak, shape = f"{tweak}wide|", hashlib.blake2b(shape.encode("utf-8", "surrogatepass")).hexdigest()
+    parts = []
+    for low in range(0, len(classes), WIDTH):
+        value, size = 0, 1
+        for letters, i in classes[low : low + WIDTH]:
+            value, size = value * len(letters) + letters.index(text[i]), size * len(letters)
+        parts.append((value, size))
+    if len(parts) < 2:
+        moved = [f.move(value, size, f"{tweak}{shape}") for value, size in parts]
+    else:
+        moved = _chained(f, [value for value, _ in parts], [size for _, size in parts], f"{tweak}{shape}front")
+        moved = _chained(f, moved[::-1], [size for _, size in parts[::-1]], f"{tweak}{shape}back")[::-1]
+    out = list(text)
+    for n, value in enumerate(moved):
+        for letters, i in reversed(classes[n * WIDTH : (n + 1) * WIDTH]):
+            value, rest = divmod(value, len(letters))
+            out[i] = letters[rest]
     return "".join(out)
 
 
+def _chained(f: Feistel, values: list[int], sizes: list[int], tweak: str) -> list[int]:
+    """Each value moved under a tweak of those before it; from the moved values the first, and so all, can be found again."""
+    before, out = hashlib.blake2b(tweak.encode("utf-8", "surrogatepass"), digest_size=32), []
+    for value, size in zip(values, sizes, strict=True):
+        out.append(f.move(value, size, before.hexdigest()))
+        before.update(f"{value}|".encode())
+    return out
+
+
 def _email(f: Feistel, text: str) -> str | None:
     local, _, domain = text.rpartition("@")
     return f"{_mixed(f, local, f'email@{domain.lower()}|')}@{domain}"
 
 
 def _secret(f: Feistel, text: str) -> str | None:
+    if not re.fullmatch("[0-9a-f]+|[0-9A-F]+", text):
+        # Letters alone may be a word.
+        return _mixed(f, text, "secret|") if re.search(r"\d", text) else None
     value = f.move(int(text, 16), 16 ** len(text), f"secret{len(text)}")
     out = f"{value:0{len(text)}x}"
     return out.upper() if text.isupper() else out
@@ -137,10 +174,9 @@ def _date(f: Feistel, text: str) -> str | None:
         if not 0 <= day < DAYS:
             return None
         shown = lambda d: datetime.date.fromordinal(FIRST_DAY + d)
-        # A date with the month first stays one that can't be read with the day first.
-        fits = (lambda d: shown(d).day > 12) if form == "%m/%d/%Y" else (lambda _: True)
-        moved = shown(f.move(day, DAYS, "date" + "m" * (form == "%m/%d/%Y"), fits))
-        return moved.strftime(form)
+        # All forms share one permutation, so one with the month first must stay one that can't be read with the day first.
+        late = shown(day).day > 12
+        return shown(f.move(day, DAYS, "date", lambda d: (shown(d).day > 12) == late)).strftime(form)
     return None
 
 
@@ -177,9 +213,14 @@ def _iban_remainder(plain: str) -> int:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
 
 
+def _iban_checked(plain: str) -> bool:
+    """Check digits are 02 to 98; 00, 01 and 99 pass modulo 97 beside 97, 98 and 02, but are no IBAN's."""
+    return _iban_remainder(plain) == 1 and 2 <= int(plain[2:4]) <= 98
+
+
 def _iban(f: Feistel, text: str) -> str | None:
     plain = text.replace(" ", "")
-    if not 15 <= len(plain) <= 34 or _iban_remainder(plain) != 1:
+    if not 15 <= len(plain) <= 34 or not _iban_checked(plain):
         return None
     moved = plain[:2] + "00" + _mixed(f, plain[4:], f"iban{plain[:2]}")
     return _refill(text, moved[:2] + f"{98 - _iban_remainder(moved):02d}" + moved[4:], "[A-Z0-9]")
@@ -197,7 +238,7 @@ def _iban_end(text: str, begin: int, limit: int) -> int | None:
     m = size and re.compile(rf"[A-Z0-9](?: ?[A-Z0-9]){{{size - 1}}}\b").match(text, begin, min(limit, len(text)))
     if not m or m.end() < len(text) and (text[m.end()].isalnum() or text[m.end()] == "_"):
         return None
-    return m.end() if _iban_remainder(m.group().replace(" ", "")) == 1 else None
+    return m.end() if _iban_checked(m.group().replace(" ", "")) else None
 
 
 def _ends(kind: str, text: str, begin: int, end: int) -> list[int]:
@@ -256,8 +297,8 @@ class Pseudonymizer:
         self.feistel = Feistel(key)
         self.pattern = re.compile("|".join(f"(?P<{kind}>{shape})" for kind, shape in SHAPES.items()))
         self.shapes = {kind: re.compile(shape) for kind, shape in SHAPES.items()}
-        # Every shape has a digit, an at-sign or a long hexadecimal number; most texts have none of these.
-        self.worth = re.compile(r"\d|@|[0-9a-fA-F]{16}")
+        # Everything that is moved has a digit, an at-sign or a long hexadecimal number; most texts have none of these.
+        self.worth = re.compile(r"\d|@|[a-fA-F]{16}")
 
     def spans(self, text: str) -> list[tuple[str, int, int, str]]:
         """(kind, begin, end, pseudonym) of what is replaced, in order."""
