@@ -3,7 +3,10 @@
 Texts are reduced to words (lower case, everything else a single space). Phrases are found word by word. Notices are
 found with a bounded number of edits: a notice that may have e errors is split into e + 1 pieces, one of which a
 match must hold unchanged; an automaton finds the pieces, and around each the regex library looks for the
-whole notice with at most e errors.
+whole notice with at most e errors, from the begin of a word to the end of one.
+
+Errors are for the words that connect. What tells one licence from another, its name and version, must stand unchanged, in the notice's order and
+without another number or variant among or behind it.
 """
 
 from __future__ import annotations
@@ -30,42 +33,73 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Wordings in use, as words. Similar ones are listed for every label, so that the nearest wins.
-NOTICES = (
-    ("mit", "released under the mit license"),
-    ("mit", "licensed under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("apache-2", "licensed under the apache license version 2 0"),
-    ("cc-by", "licensed under cc by 4 0"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("cc-by-nd", "licensed under cc by nd 4 0"),
-    ("gpl-2", "licensed under the gnu general public license version 2"),
-    ("gpl-3", "licensed under the gnu general public license version 3"),
-    ("lgpl-3", "licensed under the gnu lesser general public license version 3"),
-    ("agpl-3", "licensed under the gnu affero general public license version 3"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("bsd", "released under the bsd license"),
-    ("mpl-2", "subject to the terms of the mozilla public license v 2 0"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    ("unlicense", "this is free and unencumbered software released into the public domain"),
-    ("all-rights-reserved", "all rights reserved"),
+# Licences by the words of their names, with the versions there are. A version's dot is a space between words.
+FAMILIES = (
+    ("gpl", "gnu general public license", ("1", "2", "3")),
+    ("lgpl", "gnu lesser general public license", ("2 1", "3")),
+    ("lgpl", "gnu library general public license", ("2",)),
+    ("agpl", "gnu affero general public license", ("3",)),
+    ("apache", "apache license", ("1 0", "1 1", "2")),
+    ("mpl", "mozilla public license", ("1 0", "1 1", "2")),
+    ("epl", "eclipse public license", ("1", "2")),
+    ("cddl", "common development and distribution license", ("1 0", "1 1")),
+    ("artistic", "artistic license", ("1", "2")),
+    ("bsl", "boost software license", ("1",)),
+    ("eupl", "european union public license", ("1 1", "1 2")),
+)
+#: Ways to write a version before its number, and what a whole version may have behind it.
+VERSIONED, WHOLE = ("version", "v"), (" 0", "")
+# Names that stand before the word license, and variants of Creative Commons.
+SHORT_NAMES = ("mit", "bsd", "isc", "mpl", "bsl", "gpl", "lgpl", "agpl", "epl", "zlib", "unlicense", "wtfpl", "cddl", "eupl")
+COMMONS = ("by", "by sa", "by nd", "by nc", "by nc sa", "by nc nd")
+# Notices that name no licence, and the words of them that must stand.
+WORDINGS = (
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "free charge"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source binary"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "fee"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
+    ("all-rights-reserved", "all rights reserved", "all"),
 )
 
+
+def wordings() -> tuple[tuple[str, str, tuple[str, ...]], ...]:
+    """(label, notice, words that must stand) of everything that is looked for."""
+    found = [(label, text, tuple(keys.split())) for label, text, keys in WORDINGS]
+    connecting = ("license", "public", "and", "software")
+    for label, name, versions in FAMILIES:
+        keys = [w for w in name.split() if w not in connecting]
+        for version in versions:
+            tails = [version] if " " in version else [version + behind for behind in WHOLE]
+            for word, tail in ((w, t) for w in VERSIONED for t in tails):
+                found.append((f"{label}-{version.replace(' ', '.')}", f"{name} {word} {tail}", (*keys, *tail.split())))
+    found += [(name, f"{way}under the {name} license", (name,)) for name in SHORT_NAMES for way in ("", "released ", "licensed ")]
+    found += [(f"cc-{variant.replace(' ', '-')}", f"licensed under cc {variant}", ("cc", *variant.split())) for variant in COMMONS]
+    return tuple(found)
+
+
+NOTICES = wordings()
+#: Words of Creative Commons variants; like numbers, one more of them behind or among a notice's makes it another licence.
+TELLING = frozenset("by sa nd nc".split())
+
 #: One error for so many characters of a notice.
 CHARS_PER_ERROR = 14
 
 FOUND = "array<struct<label:string,word:long,n_words:long,errors:int,score:double,text:string>>"
 
 
+def _telling(words_of: list[str], commons: bool) -> list[str]:
+    """The numbers among the words, and the words of variants."""
+    return [w for w in words_of if w.isdigit() or commons and w in TELLING]
+
+
 class NoticeFinder:
     """The automaton over the pieces of all notices, and their patterns."""
 
-    def __init__(self, notices: tuple[tuple[str, str], ...], chars_per_error: int):
-        self.notices = [(label, text, len(text) // chars_per_error) for label, text in notices]
-        self.patterns = [regex.compile(f"(?b)(?:{regex.escape(text, literal_spaces=True)}){{e<={e}}}") for _, text, e in self.notices]
+    def __init__(self, notices: tuple[tuple[str, str, tuple[str, ...]], ...], chars_per_error: int):
+        self.notices = [(label, text, keys, len(text) // chars_per_error) for label, text, keys in notices]
+        self.patterns = [regex.compile(f"(?b)(?<![^ ])(?:{regex.escape(text, literal_spaces=True)}){{e<={e}}}(?![^ ])") for _, text, _, e in self.notices]
         pieces: dict[str, list[tuple[int, int]]] = {}
-        for n, (_, text, e) in enumerate(self.notices):
+        for n, (_, text, _, e) in enumerate(self.notices):
             cuts = np.linspace(0, len(text), e + 2).astype(int).tolist()
             for low, high in zip(cuts[:-1], cuts[1:], strict=True):
                 pieces.setdefault(text[low:high], []).append((n, low))
@@ -74,28 +108,50 @@ class NoticeFinder:
             self.automaton.add_word(piece, (len(piece), owners))
         self.automaton.make_automaton()
 
+    def stands(self, n: int, text: str, begin: int, end: int) -> bool:
+        """Whether the words that tell a notice from others stand unchanged in a match, and no more such words among and behind them."""
+        _, notice, keys, _ = self.notices[n]
+        found = text[begin:end].split()
+        rest = iter(found)
+        if not all(k in rest for k in keys):
+            return False
+        commons = "cc" in keys
+        if _telling(found, commons) != _telling(notice.split(), commons):
+            return False
+        # Behind a version there must be no further part of it, and behind a variant none of another.
+        behind = text[end : end + 24].split()[:1]
+        return not (notice.split()[-1].isdigit() and behind and behind[0].isdigit() or commons and behind and behind[0] in TELLING)
+
     def find(self, text: str) -> list[tuple[str, int, int, int, float]]:
         """(label, begin, end, errors, score) of the notices in a text of words; of overlapping ones the best."""
         places: set[tuple[int, int]] = set()
         for last, (size, owners) in self.automaton.iter(text):
             for n, offset in owners:
                 places.add((n, last - size + 1 - offset))
-        spans, before = set(), None
+        spans, done = set(), (-1, 0)
         for n, at in sorted(places):
-            label, notice, e = self.notices[n]
-            # A place near the one before lies in its window.
-            if before and before[0] == n and at - before[1] <= e:
+            label, notice, keys, e = self.notices[n]
+            low, high = max(0, at - 2 * e), min(len(text), at + len(notice) + 3 * e)
+            # What a place before this one has found, or has looked through, isn't looked at again.
+            if done[0] == n:
+                low = max(low, done[1])
+            window = f" {text[low:high]} "
+            if not all(f" {k} " in window for k in keys):
                 continue
-            before = (n, at)
-            low = max(0, at - 2 * e)
-            m = self.patterns[n].search(text, low, min(len(text), at + len(notice) + 3 * e))
-            if m:
+            while low < high:
+                m = self.patterns[n].search(text, low, min(len(text), high + 1))
+                if not m:
+                    break
                 begin, end = m.span()
-                errors = sum(m.fuzzy_counts)
-                # Only whole words make a notice.
-                while begin < end and text[begin] == " ":
-                    begin += 1
-                spans.add((1 - errors / len(notice), end - begin, begin, end, errors, label))
+                # The regex library may count the blanks around as errors.
+                begin, end = begin + (text[begin:end] != text[begin:end].lstrip(" ")), end - (text[begin:end] != text[begin:end].rstrip(" "))
+                if self.stands(n, text, begin, end):
+                    errors = sum(m.fuzzy_counts)
+                    spans.add((1 - errors / len(notice), end - begin, begin, end, errors, label))
+                    done = n, max(begin + 1, m.end())
+                    break
+                # Another match may begin behind the begin of one that doesn't stand.
+                low = m.start() + 1
         out, taken = [], []
         for score, _, begin, end, errors, label in sorted(spans, key=lambda s: (-s[0], -s[1], s[2:])):
             i = bisect(taken, (begin, end))
@@ -108,7 +164,7 @@ class NoticeFinder:
 def notices_in(
     docs: DataFrame,
     phrases: dict[str, str] | None = None,
-    notices: tuple[tuple[str, str], ...] = NOTICES,
+    notices: tuple[tuple[str, str, tuple[str, ...]], ...] = NOTICES,
     chars_per_error: int = CHARS_PER_ERROR,
 ) -> DataFrame:
     """(doc_id, n_words, base, found) of every row: its number of words, the places of the phrases (label and first word), and the
