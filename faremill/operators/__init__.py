@@ -19,6 +19,7 @@ from faremill.operators.profile import (
     daily_counts,
     filter_interaction,
     group_share,
+    grouped_profile,
     hourly_profile,
     metric_extremes,
     monthly_chargebacks,
@@ -45,6 +46,7 @@ __all__ = [
     "filter_interaction",
     "first_per_key",
     "group_share",
+    "grouped_profile",
     "hourly_profile",
     "in_time_order",
     "metric_extremes",

@@ -272,3 +272,30 @@ def avg_zero_impact(df: DataFrame, year: int, month: int, count_col: str = "pass
         F.round("_without", 2).alias("avg_without_zeros"),
         F.round(F.col("_with") - F.col("_without"), 2).alias("difference"),
     )
+
+
+def grouped_profile(
+    df: DataFrame,
+    rules: Mapping[str, Column],
+    codes: Sequence[str] = ("VendorID", "RatecodeID", "payment_type"),
+    ts: str = "tpep_pickup_datetime",
+    metric: str = "total_amount",
+) -> DataFrame:
+    """Every counter of the single profiles, for all rows, by each code and by day, from one scan.
+
+    One row for each group of each grouping set: `grouping` names the set, `code` and `pickup_date` the group. Rows, the rows that match
+    each rule, the NULLs of the secondary fields and the extremes of the metric are columns. Shares by any denominator follow from these rows.
+    """
+    day = "_day"
+    needed = df.withColumn(day, F.col(ts).cast("date"))
+    sets = [[], [F.col(day)], *([F.col(c)] for c in codes)]
+    # The rules read columns that the sets null out, so they are evaluated below the expansion, under names of their own.
+    flags = {f"_flag_{i}": cond for i, cond in enumerate([*rules.values(), *(F.col(c).isNull() for c in SECONDARY_FIELDS)])}
+    names = ["rows", *rules, *(f"null_{c}" for c in SECONDARY_FIELDS)]
+    counters = [F.count("*").alias("rows"), *(F.count_if(F.col(flag)).alias(name) for flag, name in zip(flags, names[1:]))]
+    slim = needed.select(day, *codes, F.col(metric).alias("_metric"), *(cond.alias(flag) for flag, cond in flags.items()))
+    extremes = [F.round(F.min("_metric"), 2).alias("min_value"), F.round(F.max("_metric"), 2).alias("max_value")]
+    in_set = {c: F.grouping(c).alias(f"_out_{c}") for c in (day, *codes)}
+    found = slim.groupingSets(sets, F.col(day), *(F.col(c) for c in codes)).agg(*counters, *extremes, *in_set.values())
+    grouping = reduce(lambda rest, c: F.when(F.col(f"_out_{c}") == 0, F.lit(c)).otherwise(rest), codes, F.when(F.col(f"_out_{day}") == 0, F.lit("pickup_date")).otherwise(F.lit("all")))
+    return found.select(grouping.alias("grouping"), F.coalesce(*codes).alias("code"), F.col(day).alias("pickup_date"), *names, "min_value", "max_value")

@@ -128,6 +128,27 @@ def _null_profile() -> str:
     )
 
 
+def _bronze_profile() -> str:
+    """Each grouping by a query of its own."""
+    nulls = ("passenger_count", "RatecodeID", "store_and_fwd_flag", "congestion_surcharge", "airport_fee")
+    counters = {
+        "all_null": " AND ".join(f"{c} IS NULL" for c in nulls),
+        "zero_passengers": "passenger_count = 0",
+        "zero_distance": "trip_distance = 0",
+        "negative_total": "total_amount < 0",
+        "time_travel": "tpep_dropoff_datetime < tpep_pickup_datetime",
+        "out_of_window": f"tpep_pickup_datetime < {LO} OR tpep_pickup_datetime >= {HI}",
+        **{f"null_{c}": f"{c} IS NULL" for c in nulls},
+    }
+    counted = ", ".join(f"count(*) FILTER ({cond}) AS {name}" for name, cond in counters.items())
+    rest = f"count(*) AS rows, {counted}, round(min(total_amount), 2) AS min_value, round(max(total_amount), 2) AS max_value FROM trips"
+    no_code, no_day = "CAST(NULL AS BIGINT) AS code", "CAST(NULL AS DATE) AS pickup_date"
+    parts = [f"SELECT 'all' AS grouping, {no_code}, {no_day}, {rest}"]
+    parts += [f"SELECT '{c}' AS grouping, {c} AS code, {no_day}, {rest} GROUP BY {c}" for c in ("VendorID", "RatecodeID", "payment_type")]
+    parts.append(f"SELECT 'pickup_date' AS grouping, {no_code}, CAST(tpep_pickup_datetime AS DATE) AS pickup_date, {rest} GROUP BY CAST(tpep_pickup_datetime AS DATE)")
+    return _with(TRIPS, "\nUNION ALL\n".join(parts))
+
+
 def _completeness() -> str:
     columns = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "total_amount"]
     return _with(
@@ -509,6 +530,7 @@ positive AS (SELECT year, month, round(CAST(sum(CAST(total_amount AS DECIMAL(20,
         "SELECT source_file_path AS source_file, count(*) AS trips, CAST(sum(CAST(total_amount AS DECIMAL(20,6))) AS DOUBLE) AS amount, true AS in_manifest FROM "
         "(SELECT source_file_path, total_amount FROM landed UNION ALL SELECT source_file_path, total_amount FROM landed_again) GROUP BY 1",
     ),
+    "bronze_profile": _bronze_profile(),
     "staged_rebuild": _with(SILVER, f"SELECT * EXCLUDE (congestion_surcharge, source_file_path, {IDS}) FROM silver"),
 }
 ORACLES["chargeback_impact_one_pass"] = ORACLES["chargeback_impact"]

@@ -152,6 +152,19 @@ def anomaly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.anomaly_counts(trips(spark, sf_dir), rules)
 
 
+def bronze_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of all bronze profiles in one scan."""
+    rules = {
+        "all_null": reduce(and_, [F.col(c).isNull() for c in SECONDARY_FIELDS]),
+        "zero_passengers": F.col("passenger_count") == 0,
+        "zero_distance": F.col("trip_distance") == 0,
+        "negative_total": F.col("total_amount") < 0,
+        "time_travel": ops.time_travel(),
+        "out_of_window": WINDOW.excludes(PICKUP),
+    }
+    return ops.grouped_profile(trips(spark, sf_dir), rules)
+
+
 def silver_anomaly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = {
         "null_passengers": F.col("passenger_count").isNull(),
@@ -384,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "negative_total_by_payment": negative_total_by_payment,
     "metric_extremes": over(trips, ops.metric_extremes),
     "out_of_range_profile": out_of_range_profile,
+    "bronze_profile": bronze_profile,
     "row_counts": row_counts,
     # silver profiles
     "completeness": over(silver, ops.completeness),

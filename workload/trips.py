@@ -31,7 +31,7 @@ TRIP_COLUMNS = {
         "CASE WHEN l_linenumber = 7 THEN NULL WHEN l_partkey % 8 = 0 THEN CAST(99 AS BIGINT) "
         "ELSE CAST(l_partkey % 8 AS BIGINT) END"
     ),
-    "store_and_fwd_flag": "CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END",
+    "store_and_fwd_flag": "CASE WHEN l_linenumber = 7 AND l_partkey % 9 <> 0 THEN NULL WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END",
     "PULocationID": "CAST(l_orderkey % 265 AS BIGINT)",
     "DOLocationID": "CAST(l_suppkey % 265 AS BIGINT)",
     "payment_type": "CAST(l_orderkey % 8 AS BIGINT)",
