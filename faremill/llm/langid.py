@@ -131,9 +131,10 @@ def least_cosines(scaled: np.ndarray, own: np.ndarray, sizes: np.ndarray, centro
     A class takes in its neighbours until it has HELD_OUT such texts, and its bound is no more than that of all texts together, so that a few odd ones of any size
     lower it for all. Below the smallest class that has one the bound falls in proportion to the class, since cosines do; below TELLING it is 0.
     """
-    fold, near = np.arange(len(scaled)) % folds, np.full(len(scaled), np.nan)
-    for f in range(folds):
-        for language in np.unique(own):
+    fold, near = np.zeros(len(scaled), int), np.full(len(scaled), np.nan)
+    for language in np.unique(own):
+        fold[own == language] = np.arange((own == language).sum()) % folds
+        for f in range(folds):
             learned, held = (own == language) & (fold != f), (own == language) & (fold == f)
             if learned.any() and held.any():
                 near[held] = (scaled[held] @ clusters(scaled[learned], centroids).T).max(axis=1)
