@@ -30,8 +30,10 @@ HASHES = 1 << 40
 #: Held-out texts that a quantile is taken of at least, where there are so many.
 HELD_OUT = 30
 CLASSES = 16
-#: Texts of smaller classes, of fewer than 31 grams, are too short to tell a stranger.
-TELLING = 5
+#: Texts of smaller classes, of fewer than 31 grams, are too short to tell a stranger; those of the class FULL, of 1023 grams, tell as well as any.
+TELLING, FULL = 5, 10
+#: Rows of a batch taken out of it at once.
+ROWS = 256
 
 
 @dataclass(frozen=True)
@@ -129,7 +131,8 @@ def least_cosines(scaled: np.ndarray, own: np.ndarray, sizes: np.ndarray, centro
     """By size class, `slack` times a low quantile of the cosines of texts to centroids of their language that were learned without them.
 
     A class takes in its neighbours until it has HELD_OUT such texts, and its bound is no more than that of all texts together, so that a few odd ones of any size
-    lower it for all. Below the smallest class that has one the bound falls in proportion to the class, since cosines do; below TELLING it is 0.
+    lower it for all. Below the class FULL the bound falls in proportion to the class, since a few names or numbers outweigh the words of a short text; below TELLING
+    it is 0.
     """
     fold, near = np.zeros(len(scaled), int), np.full(len(scaled), np.nan)
     for language in np.unique(own):
@@ -147,7 +150,7 @@ def least_cosines(scaled: np.ndarray, own: np.ndarray, sizes: np.ndarray, centro
         at, wide = max(c, first), 0
         while (some := np.abs(sizes - at) <= wide).sum() < min(HELD_OUT, len(near)):
             wide += 1
-        least[c] = slack * min(most, np.quantile(near[some], quantile)) * min(1.0, c / max(1, first))
+        least[c] = slack * min(most, np.quantile(near[some], quantile)) * min(1.0, c / FULL)
     return least
 
 
@@ -220,13 +223,15 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low, size = 0, 0
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for i, t in enumerate(texts):
-                size += len(t)
-                if size > 400_000 or i - low == 63 or i == len(texts) - 1:
-                    yield from part(batch.slice(low, i + 1 - low), texts[low : i + 1])
-                    low, size = i + 1, 0
+            for first in range(0, batch.num_rows, ROWS):
+                some = batch.slice(first, ROWS)
+                low, size = 0, 0
+                texts = [t or "" for t in some.column(1).to_pylist()]
+                for i, t in enumerate(texts):
+                    size += len(t)
+                    if size > PIECE or i - low == 63 or i == len(texts) - 1:
+                        yield from part(some.slice(low, i + 1 - low), texts[low : i + 1])
+                        low, size = i + 1, 0
 
     def part(batch: pa.RecordBatch, texts: list[str]) -> Iterator[pa.RecordBatch]:
         counts, has = gram_counts(texts)
