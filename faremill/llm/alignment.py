@@ -27,7 +27,7 @@ from faremill.llm.packing import plain_encoder
 from faremill.llm.scratch import Scratch
 
 #: Characters of text in a chunk, or one text.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: Segments whose ids under B a task keeps from chunk to chunk, and the most characters of one.
 KEPT, KEPT_WIDTH = 200_000, 64
 #: Links of one group beyond which its pairs are counted instead of listed.
