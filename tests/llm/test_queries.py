@@ -29,9 +29,9 @@ def tables():
     return con
 
 
-def test_entry_has_the_ten_operators_and_the_pipeline():
+def test_entry_has_the_operators_and_the_pipeline():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and {*QUERIES, "pipeline"} <= {*names}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} and {*QUERIES, "pipeline"} <= {*names}
     assert {*ORACLES} <= {*__spark_entry__.oracle_sql()}
 
 
