@@ -181,8 +181,9 @@ def _open_units(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in _blocks(rows, ["table", "x", "y", "side", "i", "j", "chunk", "n_shingles", "component", "signs"], 3):
         left, right = np.flatnonzero(block["side"] == 0), np.flatnonzero(block["side"] == 1)
         signs, found = _signs(block["signs"]), set()
+        inner = block["x"][0] == block["y"][0]
         for i in left.tolist():
-            others, whole = _near(signs, block["n_shingles"], block["component"], i, right if len(right) else left[left > i])
+            others, whole = _near(signs, block["n_shingles"], block["component"], i, left[left > i] if inner else right)
             first = (whole & (np.cumsum(whole, axis=1) <= 2))[:, [block["i"][i], block["j"][i]]].all(axis=1)
             own = int(block["chunk"][i])
             found |= {(min(own, c), max(own, c)) for c in set(block["chunk"][others[first]].tolist())}
@@ -217,6 +218,30 @@ def _unit_links(words: int, percent: int):  # noqa: ANN202
     return links
 
 
+def open_pairs(rest: DataFrame) -> DataFrame:
+    """(table, x, y, side, i, j, node, component): the members of tables dealt to pairs of blocks that may hold a link.
+
+    A table's largest component has no links inside that anyone needs, so its blocks meet the others' blocks only: its g members go out once for every block of the
+    o other members, those once for every block of the table. With one stray that is g rows and one for each TABLE_BLOCK of them, not g squared by TABLE_BLOCK.
+    The hub met every member before and is left out.
+    """
+    sizes = rest.groupBy("table", "component").agg(F.count("*").alias("held"))
+    sizes = sizes.groupBy("table").agg(F.max(F.struct("held", "component")).alias("most"), F.sum("held").alias("all"))
+    blocks = {
+        "giants": F.ceil(F.col("most.held") / TABLE_BLOCK).cast("int"),
+        "others": F.ceil((F.col("all") - F.col("most.held")) / TABLE_BLOCK).cast("int"),
+    }
+    sizes = sizes.select("table", F.col("most.component").alias("giant"), *[c.alias(name) for name, c in blocks.items()])
+    placed = rest.where("node <> hub").join(sizes, "table")
+    inside, dealt = F.col("component") == F.col("giant"), F.xxhash64("node", "i")
+    block = F.when(inside, F.pmod(dealt, "giants")).otherwise(F.col("giants") + F.pmod(dealt, "others")).cast("int")
+    met = F.sequence(F.when(inside, F.col("giants")).otherwise(F.lit(0)), F.col("giants") + F.col("others") - 1)
+    return placed.withColumn("block", block).withColumn("other", F.explode(met)).select(
+        "table", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).cast("int").alias("side"),
+        "i", "j", "node", "component",
+    )
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
@@ -266,12 +291,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     chunk = F.xxhash64("home", F.pmod(F.xxhash64("node"), "parts"))
     chunks = scratch.keep(homes.join(parts, "home").select("node", "component", chunk.alias("chunk")), "chunks")
 
-    blocks = F.ceil(F.col("members") / TABLE_BLOCK).cast("int")
-    dealt = rest.where("node <> hub").withColumns({"block": F.pmod(F.xxhash64("node", "i"), blocks).cast("int"), "blocks": blocks})
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "table", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), (F.col("block") > F.col("other")).cast("int").alias("side"),
-        "i", "j", "node", "component",
-    )
+    dealt = open_pairs(rest)
     dealt = dealt.join(nodes.select("node", "n_shingles", "signs"), "node").join(chunks.select("node", "chunk"), "node")
     dealt = dealt.select("table", "x", "y", "side", "i", "j", "chunk", "n_shingles", "component", "signs")
     dealt = dealt.repartition("table", "x", "y").sortWithinPartitions("table", "x", "y", "side")
