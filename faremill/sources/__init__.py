@@ -1,4 +1,4 @@
-from faremill.sources.drift import drift_impact, drift_table, schema_drift
+from faremill.sources.drift import cast_losses, drift_impact, drift_table, schema_drift
 from faremill.sources.landing import (
     LandedPeriod,
     LandingZone,
@@ -14,6 +14,7 @@ from faremill.sources.landing import (
 __all__ = [
     "LandedPeriod",
     "LandingZone",
+    "cast_losses",
     "conform",
     "drift_impact",
     "drift_table",

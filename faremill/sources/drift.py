@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from faremill.contracts import ABSENT_TYPE, TableContract
-from faremill.sources.landing import LandedPeriod, LandingZone, landed_schemas, read_landed
+from faremill.sources.landing import SOURCE_COL, LandedPeriod, LandingZone, landed_schemas, lossy, read_landed, with_period_path
 
 
 def drift_table(spark: SparkSession, schemas: Mapping[LandedPeriod, StructType]) -> DataFrame:
@@ -74,3 +74,37 @@ def schema_drift(spark: SparkSession, zone: LandingZone, contract: TableContract
     known = [c.name.lower() for c in contract.landed()]
     report = drift_table(spark, schemas).join(drift_impact(spark, schemas, contract), "column_name", "left")
     return report.withColumn("in_contract", F.lower("column_name").isin(*known))
+
+
+def cast_losses(spark: SparkSession, zone: LandingZone, contract: TableContract) -> DataFrame:
+    """What the cast to the contract does to values, by column and period: (column_name, kind, period, landed_type, values_present, values_lost, values_cut).
+
+    One row for each period and column that landed as a fraction's type where the contract wants an integer. `values_lost` are those that become NULL (NaN,
+    infinities, numbers out of range), `values_cut` those that stay but lose their fraction; NULLs are neither, nor are they present. Periods without rows have
+    no row here. Columns that can't lose anything are not read, and each schema of the zone is one scan with one map-side aggregate.
+    """
+    schemas = landed_schemas(spark, zone)
+    parts = [spark.createDataFrame([], f"{SOURCE_COL} string, column_name string, landed_type string, values_present long, values_lost long, values_cut long")]
+    for periods, df in read_landed(spark, schemas):
+        specs = {f.name: contract.find(f.name) for f in df.schema.fields}
+        risky = [f for f in df.schema.fields if specs[f.name] is not None and lossy(f.dataType, specs[f.name].data_type)]
+        if not risky:
+            continue
+        counters = []
+        for f in risky:
+            value = F.col(f"`{f.name}`")
+            kept = value.try_cast(specs[f.name].data_type)
+            counters.append(
+                F.struct(
+                    F.lit(f.name).alias("column_name"),
+                    F.lit(f.dataType.simpleString()).alias("landed_type"),
+                    F.count(value).alias("values_present"),
+                    F.count_if(value.isNotNull() & kept.isNull()).alias("values_lost"),
+                    F.count_if(kept.cast(f.dataType) != value).alias("values_cut"),
+                )
+            )
+        read = with_period_path(df.select(*[f"`{f.name}`" for f in risky]), periods)
+        parts.append(read.groupBy(SOURCE_COL).agg(F.array(*counters).alias("counters")).select(SOURCE_COL, F.inline("counters")))
+    named = spark.createDataFrame([(p.path, p.kind, p.key) for p in schemas], f"{SOURCE_COL} string, kind string, period string")
+    counted = reduce(DataFrame.unionByName, parts).join(named, SOURCE_COL)
+    return counted.select("column_name", "kind", "period", "landed_type", "values_present", "values_lost", "values_cut")

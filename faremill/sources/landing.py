@@ -95,11 +95,15 @@ def landed_schemas(
     return dict(f for f in found if f is not None)
 
 
+def lossy(landed: DataType, wanted: DataType) -> bool:
+    """Whether the cast may change values or lose them: a fraction's type to an integer's."""
+    return isinstance(landed, FractionalType) and isinstance(wanted, IntegralType)
+
+
 def _as(landed: StructField, wanted: DataType) -> Column:
     """The landed column in the wanted type; of a fraction's type, what no integer can hold is NULL."""
-    lossy = isinstance(landed.dataType, FractionalType) and isinstance(wanted, IntegralType)
     value = F.col(f"`{landed.name}`")
-    return value.try_cast(wanted) if lossy else value.cast(wanted)
+    return value.try_cast(wanted) if lossy(landed.dataType, wanted) else value.cast(wanted)
 
 
 def conform(df: DataFrame, contract: TableContract, unknown: str = "keep") -> DataFrame:

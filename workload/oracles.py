@@ -247,6 +247,32 @@ def _schema_drift() -> str:
     return _with(LANDING, "\nUNION ALL\n".join(rows))
 
 
+def _cast_losses() -> str:
+    """Stated by line number: 5 has a fraction, 6 what no integer can hold, 7 nothing; the resent line 2 has a rate with a fraction."""
+    return _with(
+        TRIPS,
+        "SELECT 'passenger_count' AS column_name, 'yellow' AS kind, '1996_01' AS period, 'double' AS landed_type, "
+        "count(*) FILTER (l_linenumber IN (4, 5, 6)) AS values_present, count(*) FILTER (l_linenumber = 6) AS values_lost, "
+        "count(*) FILTER (l_linenumber = 5) AS values_cut FROM sent WHERE l_linenumber > 3 HAVING count(*) > 0 "
+        "UNION ALL SELECT 'RatecodeID', 'yellow', '1996_02', 'double', count(*), 0, count(*) FROM trips WHERE source_file_path = 'batch-2' HAVING count(*) > 0",
+    )
+
+
+def _faulty_scan() -> str:
+    return _with(
+        f"""{TRIPS},
+faulty AS (
+  SELECT l_linenumber, RatecodeID, CASE WHEN source_file_path = 'batch-2' THEN 2 WHEN l_linenumber > 3 THEN 1 ELSE 3 END AS landed_in,
+         CASE WHEN source_file_path = 'batch-2' OR l_linenumber <= 4 THEN passenger_count WHEN l_linenumber = 5 THEN 3 END AS passenger_count,
+         CASE WHEN source_file_path = 'batch-2' AND l_partkey % 20 = 0 THEN NULL ELSE congestion_surcharge END AS congestion_surcharge
+  FROM trips
+)""",
+        "SELECT 'yellow_tripdata_1996-0' || CAST(landed_in AS VARCHAR) || '.parquet' AS landed_as, count(*) AS row_count, "
+        "count(passenger_count) AS n_passenger_count, count(congestion_surcharge) AS n_congestion_surcharge, count(RatecodeID) AS n_RatecodeID, "
+        "CAST(sum(passenger_count) AS BIGINT) AS sum_passenger_count, CAST(sum(RatecodeID) AS BIGINT) AS sum_RatecodeID FROM faulty GROUP BY landed_in",
+    )
+
+
 def _month_sizes() -> str:
     columns = len(TRIP_COLUMNS) + 5
     widths = {1: columns, 2: columns, 3: columns, 4: columns + 1, 5: columns - 1}
@@ -518,6 +544,8 @@ positive AS (SELECT year, month, round(CAST(sum(CAST(total_amount AS DECIMAL(20,
     ),
     "contract_cast": _with(LANDING, f"SELECT {_LANDED_COLUMNS} FROM landed"),
     "schema_drift": _schema_drift(),
+    "cast_losses": _cast_losses(),
+    "faulty_scan": _faulty_scan(),
     "bronze_build": _with(
         LANDING,
         f"SELECT {_LANDED_COLUMNS}, source_file_path, etl_ingestion_timestamp FROM landed UNION ALL "

@@ -30,6 +30,7 @@ from faremill.operators.clean import PICKUP
 from faremill.sinks import column_dictionary, read_table
 from faremill.sinks.ingest import committed_files
 from faremill.sources import (
+    cast_losses,
     conform,
     landed_schemas,
     period_coverage,
@@ -46,7 +47,9 @@ from workload.trips import (
     TRIP_COLUMNS,
     WINDOW,
     YEAR,
+    faulty_zone,
     land,
+    land_faulty,
     landing_zone,
     resent_zone,
     scratch,
@@ -264,6 +267,20 @@ def contract_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(union_drift(spark, sf_dir), TRIP_CONTRACT)
 
 
+def cast_losses_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cast_losses(spark, faulty_zone(land_faulty(spark, sf_dir)), TRIP_CONTRACT)
+
+
+def faulty_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of a zone with values that no integer can hold and a month of two footers."""
+    rows = scan_periods(spark, faulty_zone(land_faulty(spark, sf_dir)), TRIP_CONTRACT)
+    return rows.groupBy(F.substring_index("source_file_path", "/", -1).alias("landed_as")).agg(
+        F.count("*").alias("row_count"),
+        *[F.count(c).alias(f"n_{c}") for c in ("passenger_count", "congestion_surcharge", "RatecodeID")],
+        *[F.sum(c).alias(f"sum_{c}") for c in ("passenger_count", "RatecodeID")],
+    )
+
+
 def schema_drift_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_drift(spark, landing_zone(land(spark, sf_dir)), TRIP_CONTRACT)
 
@@ -423,6 +440,8 @@ QUERIES: dict[str, Query] = {
     "union_drift": union_drift,
     "contract_cast": contract_cast,
     "schema_drift": schema_drift_query,
+    "cast_losses": cast_losses_query,
+    "faulty_scan": faulty_scan,
     "bronze_build": bronze_build,
     "sink_roundtrip": sink_roundtrip,
     "partitioned_roundtrip": partitioned_roundtrip,

@@ -127,6 +127,13 @@ DRIFTS: dict[int, Callable[[DataFrame], DataFrame]] = {
 
 KIND = "yellow"
 _folders: dict[tuple[str, str], str] = {}
+
+# Passengers as a month with a faulty export has them: no number, more than any integer, a fraction.
+FAULTY_PASSENGERS = (
+    "CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber = 6 AND l_partkey % 3 = 0 THEN CAST('NaN' AS DOUBLE) "
+    "WHEN l_linenumber = 6 AND l_partkey % 3 = 1 THEN CAST('-Infinity' AS DOUBLE) WHEN l_linenumber = 6 THEN CAST(1e30 AS DOUBLE) "
+    "WHEN l_linenumber = 5 THEN CAST(3.5 AS DOUBLE) ELSE CAST(l_linenumber - 1 AS DOUBLE) END"
+)
 _lock = threading.Lock()
 
 
@@ -172,3 +179,28 @@ def land(spark: SparkSession, sf_dir: str) -> str:
             )
             _folders[memo] = root
         return _folders[memo]
+
+
+def faulty_zone(root: str) -> LandingZone:
+    """Three months: passengers that no integer can hold, a folder of two footers, and one without a drift."""
+    return LandingZone(f"{root}/faulty", [KIND], [YEAR], [1, 2, 3])
+
+
+def land_faulty(spark: SparkSession, sf_dir: str) -> str:
+    """Write the first batch's trips as a zone whose values the contract can't all keep: lines 1 to 3 land in month 3, later ones in 1, the resent in month 2."""
+    memo = (spark.sparkContext.applicationId, f"{sf_dir}#faulty")
+    with _lock:
+        if memo not in _folders:
+            root = scratch(spark)
+            landed = trips(spark, sf_dir).drop("etl_ingestion_timestamp").withColumnRenamed("source_file_path", "batch")
+            landed.write.partitionBy("batch").parquet(f"{root}/staged")
+            first, again = (spark.read.schema(landed.drop("batch").schema).parquet(f"{root}/staged/batch=batch-{n}") for n in (1, 2))
+            path = f"{root}/faulty/{KIND}/{KIND}_tripdata_{YEAR}-0{{}}.parquet".format
+            late = first.where("l_linenumber > 3")
+            late.withColumn("passenger_count", F.expr(FAULTY_PASSENGERS)).write.parquet(path(1))
+            rates = again.withColumn("RatecodeID", F.col("RatecodeID") + F.lit(0.25))
+            rates.where("l_partkey % 20 = 0").drop("congestion_surcharge").write.parquet(path(2))
+            rates.where("l_partkey % 20 <> 0").write.mode("append").parquet(path(2))
+            first.where("l_linenumber <= 3").write.parquet(path(3))
+            _folders[memo] = root
+        return _folders[memo]
