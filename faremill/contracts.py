@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +22,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from faremill.errors import MissingRoleError
+
 REQUIRED = "required"  # must be in at least one landed file
 FILLED = "filled"  # typed NULL where no file has it
 AS_LANDED = "as_landed"  # kept when landed, not invented otherwise
@@ -49,6 +51,29 @@ class ColumnSpec:
         )
 
 
+@dataclass(frozen=True)
+class Roles:
+    """The columns that play the parts which cleaning rules and answers speak of.
+
+    A part that no column plays is None: without a dropoff the layers have no time-order rule, and an
+    answer that needs a missing part raises `MissingRoleError` before any job.
+    """
+
+    pickup: str
+    dropoff: str | None = None
+    passengers: str | None = None
+    amount: str | None = None
+
+    def column(self, part: str) -> str:
+        name = getattr(self, part)
+        if name is None:
+            raise MissingRoleError(f"no column plays the part {part!r}")
+        return name
+
+    def played(self) -> tuple[str, ...]:
+        return tuple(c for c in (self.pickup, self.dropoff, self.passengers, self.amount) if c is not None)
+
+
 @dataclass(frozen=True)
 class TableContract:
     columns: tuple[ColumnSpec, ...]
@@ -134,6 +159,31 @@ class PeriodRange:
         return ordinal.between(*[y * 12 + m for y, m in (self.first, self.last)])
 
 
+@dataclass(frozen=True)
+class TripKind:
+    """All that tells one type of record from another: its landed name, contract, parts, identity, published columns and codes.
+
+    The time rules run before the de-duplication, which is right only if all rows of a key share their
+    verdict. So the columns of pickup and dropoff must be in the key.
+    """
+
+    name: str
+    contract: TableContract
+    roles: Roles
+    key: tuple[str, ...]
+    columns: tuple[str, ...]
+    code_maps: tuple[CodeMap, ...] = ()
+
+    def __post_init__(self) -> None:
+        unknown = [c for c in (*self.roles.played(), *self.key, *self.columns) if self.contract.find(c) is None]
+        if unknown:
+            raise ValueError(f"the contract of {self.name} has no columns {sorted(set(unknown))}")
+        key = {c.lower() for c in self.key}
+        outside = [c for c in (self.roles.pickup, self.roles.dropoff) if c is not None and c.lower() not in key]
+        if outside:
+            raise ValueError(f"the key of {self.name} lacks the time columns {outside}")
+
+
 # --- fixed values: code descriptions and labels of the published trip-record dictionary ---
 VENDOR_CODES = CodeMap(
     "VendorID",
@@ -168,6 +218,14 @@ PAYMENT_CODES = CodeMap(
         6: "Voided trip",
     },
 )
+TRIP_TYPE_CODES = CodeMap(
+    "trip_type",
+    "trip_type_desc",
+    {
+        1: "Street-hail",
+        2: "Dispatch",
+    },
+)
 MONTH_LABELS = {1: "Jan", 2: "Fev", 3: "Mar", 4: "Abr", 5: "Mai"}
 PERIOD_MEAN_LABEL = "Média do período"
 ABSENT_TYPE = "--- AUSENTE ---"
@@ -249,3 +307,36 @@ TRIP_CONTRACT = TableContract(
 BRONZE_COMMENT = "Bronze: landed trip records under one type contract, with their source file and ingestion time"
 SILVER_COMMENT = "Silver: trip records without repeats and without physically impossible times; every column kept"
 GOLD_COMMENT = "Gold: the analytical columns of silver with pickup hour and decoded codes; every silver row kept"
+
+YELLOW_ROLES = Roles("tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "total_amount")
+YELLOW_TRIPS = TripKind(
+    "yellow", TRIP_CONTRACT, YELLOW_ROLES, DEDUP_KEY, GOLD_COLUMNS, (VENDOR_CODES, RATECODES, PAYMENT_CODES)
+)
+
+# Green trips have the meter's times under other names, no airport fee and two columns of their own.
+# --- fixed values: names of the published green records ---
+GREEN_TIMES = {"tpep_pickup_datetime": "lpep_pickup_datetime", "tpep_dropoff_datetime": "lpep_dropoff_datetime"}
+# --- end of fixed values ---
+
+
+def _green(names: Iterable[str]) -> tuple[str, ...]:
+    return tuple(GREEN_TIMES.get(n, n) for n in names)
+
+
+GREEN_CONTRACT = TableContract(
+    (
+        *[replace(c, name=GREEN_TIMES.get(c.name, c.name)) for c in TRIP_CONTRACT.landed() if c.name != "airport_fee"],
+        ColumnSpec("ehail_fee", _DOUBLE, "Fee of an electronic hail in USD", FILLED),
+        ColumnSpec("trip_type", _LONG, "Code that tells street hails from dispatched trips", FILLED),
+        *[c for c in TRIP_CONTRACT.columns if c.presence == DERIVED],
+        ColumnSpec("trip_type_desc", _TEXT, "Trip type in words", DERIVED),
+    )
+)
+GREEN_TRIPS = TripKind(
+    "green",
+    GREEN_CONTRACT,
+    Roles(*_green((YELLOW_ROLES.pickup, YELLOW_ROLES.dropoff)), YELLOW_ROLES.passengers, YELLOW_ROLES.amount),
+    _green(DEDUP_KEY),
+    (*_green(GOLD_COLUMNS), "trip_type"),
+    (*YELLOW_TRIPS.code_maps, TRIP_TYPE_CODES),
+)

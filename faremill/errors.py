@@ -9,5 +9,9 @@ class MissingColumnError(LookupError):
     """A required contract column is in none of the landed files."""
 
 
+class MissingRoleError(LookupError):
+    """A rule or an answer needs a part that no column of the trip type plays."""
+
+
 class NoLandedPeriodsError(ValueError):
     """None of the expected periods has landed."""

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from faremill.contracts import DEDUP_KEY
+from faremill.contracts import DEDUP_KEY, YELLOW_ROLES
 from faremill.functions.labels import share
 
-PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
+PICKUP, DROPOFF = YELLOW_ROLES.pickup, YELLOW_ROLES.dropoff
 INGESTED = "etl_ingestion_timestamp"
 SOURCE = "source_file_path"
 

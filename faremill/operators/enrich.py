@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from faremill.contracts import GOLD_COLUMNS, PAYMENT_CODES, RATECODES, VENDOR_CODES, CodeMap
+from faremill.contracts import GOLD_COLUMNS, YELLOW_TRIPS, CodeMap
 from faremill.functions.labels import decode
 
-TRIP_CODES = (VENDOR_CODES, RATECODES, PAYMENT_CODES)
+TRIP_CODES = YELLOW_TRIPS.code_maps
 
 
 def project(df: DataFrame, columns: Sequence[str] = GOLD_COLUMNS) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +16,14 @@ from faremill.contracts import (
     GOLD_COMMENT,
     SILVER_COMMENT,
     TRIP_CONTRACT,
+    YELLOW_ROLES,
     CodeMap,
     PeriodRange,
+    Roles,
     TableContract,
+    TripKind,
 )
-from faremill.operators.clean import INGESTED, PICKUP, derive_calendar, first_per_key, in_time_order
+from faremill.operators.clean import INGESTED, derive_calendar, first_per_key, in_time_order
 from faremill.operators.enrich import TRIP_CODES, decode_codes, project
 from faremill.errors import NoLandedPeriodsError
 from faremill.sinks.ingest import BATCH, batch_number, landed_files, new_periods, write_manifest
@@ -48,23 +51,28 @@ def silver(
     window: PeriodRange,
     key: Sequence[str] = DEDUP_KEY,
     order: Sequence[str] | None = None,
+    roles: Roles = YELLOW_ROLES,
 ) -> DataFrame:
     """Bronze without impossible times, rows outside the window and repeats; calendar added.
 
     The filters only use key columns, so it doesn't matter to the result that they run first;
-    it keeps rows they would drop out of the sort and shuffle of the de-duplication.
+    it keeps rows they would drop out of the sort and shuffle of the de-duplication. A type without
+    a dropoff has no impossible times.
     """
-    possible = bronze_df.filter(in_time_order() & window.contains(PICKUP))
-    return derive_calendar(first_per_key(possible, key, order))
+    possible = window.contains(roles.pickup)
+    if roles.dropoff is not None:
+        possible = in_time_order(roles.pickup, roles.dropoff) & possible
+    return derive_calendar(first_per_key(bronze_df.filter(possible), key, order), roles.pickup)
 
 
 def gold(
     silver_df: DataFrame,
     columns: Sequence[str] = GOLD_COLUMNS,
     code_maps: Sequence[CodeMap] = TRIP_CODES,
+    roles: Roles = YELLOW_ROLES,
 ) -> DataFrame:
     """The analytical columns of every silver row, with pickup hour and decoded codes."""
-    hours = derive_calendar(project(silver_df, columns), parts=["pickup_hour"])
+    hours = derive_calendar(project(silver_df, columns), roles.pickup, ["pickup_hour"])
     return decode_codes(hours, code_maps)
 
 
@@ -90,6 +98,16 @@ class LakehouseConfig:
     replace_partitions: bool = False
     # Columns that the contract doesn't know: kept, where the table has them, or dropped.
     unknown: str = "keep"
+    # Gold's columns of silver, and the columns that play pickup, dropoff, passengers and amount.
+    columns: Sequence[str] = GOLD_COLUMNS
+    roles: Roles = YELLOW_ROLES
+
+    @classmethod
+    def of_kind(cls, kind: TripKind, zone: LandingZone, **rest) -> LakehouseConfig:
+        """The configuration of one type of record: its tables are named after it, and only its periods of the zone are read."""
+        named = {f"{layer}_name": f"{kind.name}_{layer}" for layer in ("bronze", "silver", "gold")}
+        own = dict(contract=kind.contract, code_maps=kind.code_maps, key=kind.key, columns=kind.columns, roles=kind.roles)
+        return cls(replace(zone, kinds=[kind.name]), **{**named, **own, **rest})
 
     @property
     def valid(self) -> PeriodRange:
@@ -139,7 +157,7 @@ def build_silver(spark: SparkSession, cfg: LakehouseConfig) -> None:
     small file into every month.
     """
     write_table(
-        silver(spark.table(cfg.table(cfg.bronze_name)).drop(BATCH), cfg.valid, cfg.key, cfg.order),
+        silver(spark.table(cfg.table(cfg.bronze_name)).drop(BATCH), cfg.valid, cfg.key, cfg.order, cfg.roles),
         cfg.table(cfg.silver_name),
         cfg.contract,
         SILVER_COMMENT,
@@ -158,7 +176,7 @@ def build_gold(spark: SparkSession, cfg: LakehouseConfig) -> None:
     if cfg.replace_partitions:
         source = source.filter(cfg.valid.covers("year", "month"))
     write_table(
-        gold(source, code_maps=cfg.code_maps),
+        gold(source, cfg.columns, cfg.code_maps, cfg.roles),
         cfg.table(cfg.gold_name),
         cfg.contract,
         GOLD_COMMENT,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from faremill.contracts import GOLD_COLUMNS, TRIP_CONTRACT
+from workload.kinds import EVENT_COLUMNS, EVENTS_RESENT, GREEN_COLUMNS, GREEN_IDS
 from workload.trips import INGESTED, RECORD_ID, RESENT, TRIP_COLUMNS
 
 KEY = "VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID"
@@ -564,3 +565,108 @@ positive AS (SELECT year, month, round(CAST(sum(CAST(total_amount AS DECIMAL(20,
 ORACLES["chargeback_impact_one_pass"] = ORACLES["chargeback_impact"]
 ORACLES["revenue_report_sql"] = ORACLES["revenue_report"]
 ORACLES["sink_roundtrip"] = ORACLES["bronze_build"]
+
+# --- other types of record ---
+
+
+def _sent(columns: dict[str, str], source: str, again: str, amount: str, ids: tuple[str, ...] = ()) -> str:
+    """Records of both batches; batch 2 has its own ingestion and the amount negated."""
+    mapped = ", ".join([*[f"{text} AS {name}" for name, text in columns.items()], *ids])
+    return f"""first_sent AS (SELECT {mapped}, 1 AS batch, {again} AS again FROM {source}),
+    sent AS (
+      SELECT * EXCLUDE (again) FROM first_sent
+      UNION ALL SELECT * EXCLUDE (again) REPLACE (-{amount} AS {amount}, 2 AS batch) FROM first_sent WHERE again
+    )"""
+
+
+GREEN_KEY = "VendorID, lpep_pickup_datetime, lpep_dropoff_datetime, PULocationID, DOLocationID"
+GREEN_IN = f"lpep_pickup_datetime >= {LO} AND lpep_pickup_datetime < {HI}"
+GREEN_SENT = _sent(GREEN_COLUMNS, "lineitem JOIN orders ON l_orderkey = o_orderkey", RESENT, "total_amount", GREEN_IDS)
+GREEN_NUMBERED = f"""{GREEN_SENT},
+green_numbered AS (SELECT *, row_number() OVER (PARTITION BY {GREEN_KEY} ORDER BY batch, {", ".join(GREEN_IDS)}) AS rn FROM sent)"""
+GREEN_SILVER = f"""{GREEN_NUMBERED},
+green AS (
+  SELECT {", ".join(GREEN_COLUMNS)}, CAST(year(lpep_pickup_datetime) AS INT) AS year, CAST(month(lpep_pickup_datetime) AS INT) AS month,
+         CAST(hour(lpep_pickup_datetime) AS INT) AS pickup_hour
+  FROM green_numbered WHERE rn = 1 AND lpep_dropoff_datetime >= lpep_pickup_datetime AND {GREEN_IN}
+)"""
+TRIP_TYPE = (
+    "CASE trip_type WHEN 1 THEN 'Street-hail' WHEN 2 THEN 'Dispatch' ELSE 'Outro/Inválido: ' || CAST(trip_type AS VARCHAR) END"
+)
+EVENT_SILVER = f"""{_sent(EVENT_COLUMNS, "events", EVENTS_RESENT, "value")},
+events_numbered AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, ts ORDER BY batch, event_id) AS rn FROM sent),
+event_gold AS (
+  SELECT event_id, ts, user_id, event_type, items, value, CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month,
+         CAST(hour(ts) AS INT) AS pickup_hour
+  FROM events_numbered WHERE rn = 1 AND ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'
+)"""
+
+
+def _green_waterfall() -> str:
+    keys = f"""keys AS (
+      SELECT {GREEN_KEY}, count(*) AS n, coalesce(lpep_dropoff_datetime >= lpep_pickup_datetime, false) AS in_order,
+             coalesce({GREEN_IN}, false) AS inside
+      FROM sent GROUP BY {GREEN_KEY}
+    ), totals AS (
+      SELECT sum(n) AS total, count(*) AS n_keys, sum(n) FILTER (NOT in_order) AS late, count(*) FILTER (NOT in_order) AS gone1,
+             sum(n) FILTER (NOT inside) AS beyond, count(*) FILTER (in_order AND NOT inside) AS gone2
+      FROM keys
+    ), noted AS (SELECT count(*) FILTER (total_amount < 0) AS negative, count(*) FILTER (trip_type IS NULL) AS untyped FROM sent),
+    steps AS (
+      SELECT 0 AS position, 'duplicate' AS rule, 'removes' AS effect, total - n_keys AS matched, total - n_keys AS removed, total, n_keys AS remaining FROM totals
+      UNION ALL SELECT 1, 'time_travel', 'removes', late, gone1, total, n_keys - gone1 FROM totals
+      UNION ALL SELECT 2, 'out_of_window', 'removes', beyond, gone2, total, n_keys - gone1 - gone2 FROM totals
+      UNION ALL SELECT 3, 'negative_total', 'keeps', negative, 0, total, n_keys - gone1 - gone2 FROM totals, noted
+      UNION ALL SELECT 4, 'unknown_type', 'keeps', untyped, 0, total, n_keys - gone1 - gone2 FROM totals, noted
+    )"""
+    return _with(
+        f"{GREEN_SENT}, {keys}",
+        "SELECT CAST(position AS INT) AS position, rule, effect, CAST(matched AS BIGINT) AS matched_rows, "
+        f"{_pct('matched', 'total', 4)} AS pct_matched, CAST(removed AS BIGINT) AS removed_rows, CAST(remaining AS BIGINT) AS remaining_rows, "
+        f"{_pct('removed', 'total', 4)} AS pct_removed FROM steps",
+    )
+
+
+_EXACT = "CAST(sum(CAST({0} AS DECIMAL(20,6))) AS DOUBLE)".format
+ORACLES |= {
+    "green_silver": _with(GREEN_SILVER, "SELECT * EXCLUDE (pickup_hour) FROM green"),
+    "green_gold": _with(
+        GREEN_SILVER,
+        "SELECT VendorID, lpep_pickup_datetime, lpep_dropoff_datetime, passenger_count, total_amount, RatecodeID, payment_type, year, month, "
+        f"trip_type, pickup_hour, {VENDOR} AS vendor_desc, {RATECODE} AS ratecode_desc, {PAYMENT} AS payment_desc, {TRIP_TYPE} AS trip_type_desc FROM green",
+    ),
+    "green_waterfall": _green_waterfall(),
+    "green_revenue_by_month": _with(
+        GREEN_SILVER,
+        f"SELECT year, month, count(*) AS total_trips, round({_EXACT('total_amount')}, 2) AS total_amount_received FROM green WHERE total_amount > 0 GROUP BY year, month",
+    ),
+    "green_passengers_by_hour": _with(
+        GREEN_SILVER,
+        "SELECT pickup_hour, round(avg(passenger_count), 4) AS avg_passengers, count(*) AS total_trips FROM green "
+        "WHERE passenger_count > 0 AND year = 1996 AND month = 5 GROUP BY pickup_hour",
+    ),
+    "green_type_distribution": _with(
+        GREEN_SILVER,
+        f"SELECT trip_type, {TRIP_TYPE} AS trip_type_desc, count(*) AS trips, {_pct('count(*)', 'sum(count(*)) OVER ()', 4)} AS pct_of_total FROM green GROUP BY trip_type",
+    ),
+    "events_gold": _with(EVENT_SILVER, "SELECT * FROM event_gold"),
+    "events_repeats": _with(
+        EVENT_SILVER,
+        "SELECT count(*) AS total_rows, count(*) FILTER (rn > 1) AS duplicate_rows, count(*) FILTER (rn = 1) AS unique_rows, "
+        f"{_pct('count(*) FILTER (rn > 1)', 'count(*)', 4)} AS pct_of_total FROM events_numbered",
+    ),
+    "events_value_by_month": _with(
+        EVENT_SILVER,
+        f"SELECT year, month, count(*) AS total_trips, round({_EXACT('value')}, 2) AS total_amount_received FROM event_gold WHERE value > 0 GROUP BY year, month",
+    ),
+    "events_ticket_by_month": _with(
+        EVENT_SILVER,
+        f"SELECT year, month, round({_EXACT('value')}, 2) AS monthly_total, "
+        f"round({_EXACT('value')} / count(CAST(value AS DECIMAL(20,6))), 4) AS avg_trip_amount FROM event_gold WHERE value > 0 GROUP BY year, month",
+    ),
+    "events_items_by_hour": _with(
+        EVENT_SILVER,
+        "SELECT pickup_hour, round(avg(items), 4) AS avg_passengers, count(*) AS total_trips FROM event_gold "
+        "WHERE items > 0 AND year = 2024 AND month = 1 GROUP BY pickup_hour",
+    ),
+}

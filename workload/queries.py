@@ -39,6 +39,7 @@ from faremill.sources import (
     scan_periods,
     schema_drift,
 )
+from workload.kinds import KIND_QUERIES
 from workload.trips import (
     ANSWER_MONTH,
     INGESTED,
@@ -448,4 +449,6 @@ QUERIES: dict[str, Query] = {
     "column_dictionary": column_dictionary_query,
     "repeated_ingest": repeated_ingest,
     "staged_rebuild": staged_rebuild,
+    # other types of record
+    **KIND_QUERIES,
 }
