@@ -7,7 +7,7 @@ from workload.kinds import EVENT_COLUMNS, EVENTS_RESENT, GREEN_COLUMNS, GREEN_ID
 from workload.trips import INGESTED, RECORD_ID, RESENT, TRIP_COLUMNS
 
 KEY = "VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, PULocationID, DOLocationID"
-ORDER = "etl_ingestion_timestamp, l_orderkey, l_partkey, l_suppkey, l_shipdate"
+ORDER = "etl_ingestion_timestamp, l_orderkey, l_partkey, l_suppkey, l_shipdate, l_linenumber"
 LO, HI = "TIMESTAMP '1996-01-01 00:00:00'", "TIMESTAMP '1996-06-01 00:00:00'"
 
 IDS = ", ".join((*RECORD_ID, "l_linenumber"))

@@ -48,7 +48,7 @@ TRIP_COLUMNS = {
 # Which lines are sent again.
 RESENT = "l_linenumber = 2 AND l_partkey % 10 = 0"
 RECORD_ID = ("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
-ORDER = ("etl_ingestion_timestamp", *RECORD_ID)
+ORDER = ("etl_ingestion_timestamp", *RECORD_ID, "l_linenumber")
 
 # Declared, so that a read doesn't spend a job on the footers.
 LINEITEM = (
