@@ -29,7 +29,7 @@ def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after four commits: all documents counted by one tokenizer; the same batch sent again; the texts that aren't
-    English counted by a second tokenizer version in place of the first; exact copies of a smaller doc_id deleted.
+    English counted by a second tokenizer version in place of the first; exact copies of a smaller doc_id deleted. Before the last one the store is compacted.
 
     Rows without a doc_id can't be in a ledger, which is kept by doc_id. Each is a document of its own, a copy of none, and is added
     to the totals under the version that holds for its language."""
@@ -46,6 +46,7 @@ def op8_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     foreign = docs.where("lang IS DISTINCT FROM 'en'")
     recounted = as_change(scratch.keep(count(foreign, second), "recounted"), "insert", second)
     ledger.commit("0002-upgrade", recounted.unionByName(as_change(foreign.select("doc_id", "source", "lang", F.lit(0).cast("long").alias("tokens")), "delete", first)))
+    ledger.compact()
     prints = docs.select("doc_id", F.xxhash64("text").alias("a"), F.md5("text").alias("b"))
     least = prints.groupBy("a", "b").agg(F.min("doc_id").alias("first_id"))
     copies = prints.join(least, ["a", "b"]).where("doc_id > first_id").select("doc_id").distinct()

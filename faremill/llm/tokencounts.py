@@ -1,7 +1,9 @@
 """Token totals by source, language and tokenizer version, maintained by deltas.
 
 A store holds, for every committed batch, its signed entries (a document's tokens with +1, or what it had before
-with -1) and their sums by group. Totals are the sum of all committed sums. A batch is looked up against the net
+with -1) and their sums by group. Totals are the sum of all committed sums. Entries lie in folders by a hash of their document, of which a
+commit reads those that its batch touches, and `compact` merges what was committed into net entries and one table of sums, so that the store
+grows with the documents that it counts and not with its history. A batch is looked up against the net
 entries of its documents only: an insert adds, a delete takes back what is there, a
 revised count does both. Its files lie in a folder of their own and count once its commit marker is written,
 so a batch that is sent again, or was broken off, changes nothing twice.
@@ -18,6 +20,8 @@ from pyspark.sql import functions as F
 from faremill.llm.packing import plain_encoder
 
 GROUP = ["source", "lang", "version"]
+#: Folders of a batch's entries; a store keeps the number it was begun with.
+BUCKETS = 64
 ENTRY = "doc_id long, source string, lang string, version string, sign int, tokens long"
 SUMS = "source string, lang string, version string, documents long, tokens long"
 CHANGE = "op string, doc_id long, source string, lang string, version string, tokens long"
@@ -46,20 +50,60 @@ class TokenLedger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _files(self):  # noqa: ANN202
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits")
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path, jvm
+    def _files(self, name: str):  # noqa: ANN202
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _marked(self, name: str) -> list[str]:
+        files, path = self._files(name)
+        return sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
+
+    def _mark(self, name: str) -> None:
+        files, path = self._files(name)
+        files.create(path, False).close()
 
     def committed(self) -> list[str]:
         """Names of the batches that count."""
-        files, path, _ = self._files()
-        return sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
+        return self._marked("commits")
+
+    def _merged(self, generation: str) -> set[str]:
+        """The batches in a compaction. Their names are metadata: one for each commit."""
+        return {r.batch for r in self.spark.read.schema("batch string").parquet(f"{self.path}/merged/{generation}/batches").collect()}
 
     def _read(self, kind: str, schema: str) -> DataFrame:
-        paths = [f"{self.path}/{kind}/{b}" for b in self.committed()]
+        """What counts now: the last compaction, and the batches committed since."""
+        last = self._marked("compactions")[-1:]
+        inside = self._merged(last[0]) if last else set()
+        paths = [f"{self.path}/merged/{g}/{kind}" for g in last] + [f"{self.path}/{kind}/{b}" for b in self.committed() if b not in inside]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def _net(self) -> DataFrame:
+        entries = self._read("entries", f"{ENTRY}, bucket int")
+        return entries.groupBy("bucket", "doc_id", *GROUP, "tokens").agg(F.sum("sign").cast("int").alias("sign")).where("sign > 0")
+
+    def _write_entries(self, entries: DataFrame, path: str) -> None:
+        """By folder, in files of the advisory size: a folder too big for one task is split."""
+        entries.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+    def compact(self) -> None:
+        """Merges all that is committed into net entries and one table of sums.
+
+        The merged tables count once their marker is written; a compaction that was broken off is overwritten by the next. Batches stay
+        committed, so one that is sent again still changes nothing. Files that the compaction before this one replaced are removed;
+        those that this one replaces stay, for queries that are running.
+        """
+        done = self._marked("compactions")
+        before = self._merged(done[-1]) if done else set()
+        generation, batches = f"{len(done):08d}", self.committed()
+        folder = f"{self.path}/merged/{generation}"
+        self._write_entries(self._net().select(*[c.split()[0] for c in ENTRY.split(", ")], "bucket"), f"{folder}/entries")
+        self.totals().write.mode("overwrite").parquet(f"{folder}/sums")
+        self.spark.createDataFrame([(b,) for b in batches], "batch string").write.mode("overwrite").parquet(f"{folder}/batches")
+        self._mark(f"compactions/{generation}")
+        for name in [f"merged/{g}" for g in done[:-1]] + [f"{kind}/{b}" for kind in ("entries", "sums") for b in before]:
+            files, path = self._files(name)
+            files.delete(path, True)
+
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Applies (op, doc_id, source, lang, version, tokens); false, and nothing done, if the batch has been committed.
 
@@ -79,7 +123,11 @@ class TokenLedger:
         changes = changes.select(*names)
         last = changes.groupBy("doc_id", "version").agg(F.max(F.struct((F.col("op") == "delete").alias("gone"), "tokens", "source", "lang")).alias("c"))
         last = last.select("doc_id", "version", "c.*")
-        net = self._read("entries", ENTRY).join(changes.select("doc_id").distinct(), "doc_id", "left_semi")
+        bucket = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(BUCKETS)).cast("int")
+        # At most BUCKETS numbers; as a condition on the folders they prune what is read.
+        buckets = [r.bucket for r in changes.select(bucket.alias("bucket")).distinct().collect()]
+        entries = self._read("entries", f"{ENTRY}, bucket int").where(F.col("bucket").isin(buckets))
+        net = entries.join(changes.select("doc_id").distinct(), "doc_id", "left_semi")
         net = net.groupBy("doc_id", *GROUP, "tokens").agg(F.sum("sign").alias("n")).where("n > 0").select("doc_id", *GROUP, "tokens")
         touched = last.select(F.col("doc_id").alias("id"), F.col("version").alias("v"), "gone")
         back = net.join(touched, (F.col("doc_id") == F.col("id")) & (F.col("version").eqNullSafe(F.col("v")) | (F.col("v").isNull() & F.col("gone"))), "left_semi")
@@ -87,12 +135,11 @@ class TokenLedger:
             last.where("NOT gone").select("doc_id", *GROUP, F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"), F.lit(1).alias("sign"))
         )
         columns = [c.split()[0] for c in ENTRY.split(", ")]
-        signed.select(*columns).write.mode("overwrite").parquet(f"{self.path}/entries/{batch}")
+        self._write_entries(signed.select(*columns, bucket.alias("bucket")), f"{self.path}/entries/{batch}")
         entries = self.spark.read.schema(ENTRY).parquet(f"{self.path}/entries/{batch}")
         sums = entries.groupBy(*GROUP).agg(F.sum(F.col("sign").cast("long")).alias("documents"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens"))
         sums.write.mode("overwrite").parquet(f"{self.path}/sums/{batch}")
-        files, path, jvm = self._files()
-        files.create(jvm.org.apache.hadoop.fs.Path(path, batch), False).close()
+        self._mark(f"commits/{batch}")
         return True
 
     def totals(self) -> DataFrame:
