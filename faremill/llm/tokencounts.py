@@ -1,8 +1,8 @@
 """Token totals by source, language and tokenizer version, maintained by deltas.
 
 A store holds, for every committed batch, its signed entries (a document's tokens with +1, or what it had before
-with -1) and their sums by group. Totals are the sum of all committed sums. Entries lie in folders by a hash of their document, of which a
-commit reads those that its batch touches, and `compact` merges what was committed into net entries and one table of sums, so that the store
+with -1) and their sums by group. Totals are the sum of all committed sums. Entries are sorted by document, and a commit reads the
+range of ids that its batch touches; `compact` merges what was committed into net entries and one table of sums, so that the store
 grows with the documents that it counts and not with its history. A batch is looked up against the net
 entries of its documents only: an insert adds, a delete takes back what is there, a
 revised count does both. Its files lie in a folder of their own and count once its commit marker is written,
@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 from faremill.llm.packing import plain_encoder
 
 GROUP = ["source", "lang", "version"]
-#: Folders of a batch's entries; a store keeps the number it was begun with.
-BUCKETS = 64
 ENTRY = "doc_id long, source string, lang string, version string, sign int, tokens long"
 SUMS = "source string, lang string, version string, documents long, tokens long"
 CHANGE = "op string, doc_id long, source string, lang string, version string, tokens long"
@@ -78,15 +76,11 @@ class TokenLedger:
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def _net(self) -> DataFrame:
-        entries = self._read("entries", f"{ENTRY}, bucket int")
-        return entries.groupBy("bucket", "doc_id", *GROUP, "tokens").agg(F.sum("sign").cast("int").alias("sign")).where("sign > 0")
-
-    def _write_entries(self, entries: DataFrame, path: str) -> None:
-        """By folder, in files of the advisory size: a folder too big for one task is split."""
-        entries.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        entries = self._read("entries", ENTRY)
+        return entries.groupBy("doc_id", *GROUP, "tokens").agg(F.sum("sign").cast("int").alias("sign")).where("sign > 0")
 
     def compact(self) -> None:
-        """Merges all that is committed into net entries and one table of sums.
+        """Merges all that is committed into net entries, in files by ranges of doc_id, and one table of sums.
 
         The merged tables count once their marker is written; a compaction that was broken off is overwritten by the next. Batches stay
         committed, so one that is sent again still changes nothing. Files that the compaction before this one replaced are removed;
@@ -96,7 +90,8 @@ class TokenLedger:
         before = self._merged(done[-1]) if done else set()
         generation, batches = f"{len(done):08d}", self.committed()
         folder = f"{self.path}/merged/{generation}"
-        self._write_entries(self._net().select(*[c.split()[0] for c in ENTRY.split(", ")], "bucket"), f"{folder}/entries")
+        net = self._net().select(*[c.split()[0] for c in ENTRY.split(", ")])
+        net.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.mode("overwrite").parquet(f"{folder}/entries")
         self.totals().write.mode("overwrite").parquet(f"{folder}/sums")
         self.spark.createDataFrame([(b,) for b in batches], "batch string").write.mode("overwrite").parquet(f"{folder}/batches")
         self._mark(f"compactions/{generation}")
@@ -123,10 +118,9 @@ class TokenLedger:
         changes = changes.select(*names)
         last = changes.groupBy("doc_id", "version").agg(F.max(F.struct((F.col("op") == "delete").alias("gone"), "tokens", "source", "lang")).alias("c"))
         last = last.select("doc_id", "version", "c.*")
-        bucket = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(BUCKETS)).cast("int")
-        # At most BUCKETS numbers; as a condition on the folders they prune what is read.
-        buckets = [r.bucket for r in changes.select(bucket.alias("bucket")).distinct().collect()]
-        entries = self._read("entries", f"{ENTRY}, bucket int").where(F.col("bucket").isin(buckets))
+        # Documents taken in since have other ids as a rule: the range keeps the scan off most of the store's row groups.
+        least, most = changes.agg(F.min(F.col("doc_id").cast("long")), F.max(F.col("doc_id").cast("long"))).first()
+        entries = self._read("entries", ENTRY).where(F.col("doc_id").between(least, most))
         net = entries.join(changes.select("doc_id").distinct(), "doc_id", "left_semi")
         net = net.groupBy("doc_id", *GROUP, "tokens").agg(F.sum("sign").alias("n")).where("n > 0").select("doc_id", *GROUP, "tokens")
         touched = last.select(F.col("doc_id").alias("id"), F.col("version").alias("v"), "gone")
@@ -135,7 +129,7 @@ class TokenLedger:
             last.where("NOT gone").select("doc_id", *GROUP, F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"), F.lit(1).alias("sign"))
         )
         columns = [c.split()[0] for c in ENTRY.split(", ")]
-        self._write_entries(signed.select(*columns, bucket.alias("bucket")), f"{self.path}/entries/{batch}")
+        signed.select(*columns).sortWithinPartitions("doc_id").write.mode("overwrite").parquet(f"{self.path}/entries/{batch}")
         entries = self.spark.read.schema(ENTRY).parquet(f"{self.path}/entries/{batch}")
         sums = entries.groupBy(*GROUP).agg(F.sum(F.col("sign").cast("long")).alias("documents"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens"))
         sums.write.mode("overwrite").parquet(f"{self.path}/sums/{batch}")

@@ -1,4 +1,4 @@
-"""The token ledger's folders and compactions."""
+"""The token ledger's ranges of ids and its compactions."""
 
 import pytest
 from conftest import plan_of
@@ -73,10 +73,12 @@ def test_an_empty_ledger_compacts(spark, ledger):
     assert totals(ledger) == {(None, None, None): (1, 0)}
 
 
-def test_entries_are_pruned_by_folder(spark, ledger):
+def test_a_commit_reads_its_range_of_ids(spark, ledger):
     ledger.commit("1", batch(spark, *[("insert", i, "a", "en", "v1", 1) for i in range(500)]))
     ledger.compact()
-    entries = ledger._read("entries", f"{tokencounts.ENTRY}, bucket int")
-    assert entries.select("bucket").distinct().count() == tokencounts.BUCKETS
-    some = entries.where("bucket IN (3)")
-    assert "PartitionFilters: [bucket" in plan_of(some) and 0 < len(some.select("doc_id").collect()) < 30
+    compacted = ledger._read("entries", tokencounts.ENTRY)
+    assert compacted.count() == 500
+    plan = plan_of(compacted.where("doc_id BETWEEN 600 AND 700"))
+    assert "GreaterThanOrEqual(doc_id,600)" in plan and "LessThanOrEqual(doc_id,700)" in plan
+    ledger.commit("2", batch(spark, ("revise", 0, "a", "en", "v1", 3), ("revise", 499, "a", "en", "v1", 3), ("insert", -5, "a", "en", "v1", 1)))
+    assert totals(ledger) == {("a", "en", "v1"): (501, 505)}
