@@ -121,7 +121,7 @@ class LakehouseConfig:
 def build_bronze(
     spark: SparkSession, cfg: LakehouseConfig, ingested_at: Column | None = None, mode: str | None = None
 ) -> int:
-    """Landing zone to bronze table; the number of files taken in. The plan is scan, cast, write: no shuffle.
+    """Landing zone to bronze table; the number of files taken in. The plan is scan, cast, write: no shuffle, no sort.
 
     Bronze is partitioned by batch. With `mode="append"` a later landing zone, such as resent records, joins the earlier ones, but for the files that an
     earlier batch has: the same zone appended again changes nothing, and a run that broke off is taken up by the next. A file that changed since
@@ -145,6 +145,7 @@ def build_bronze(
         partition_by=(BATCH,),
         provider=cfg.provider,
         replace_partitions=append,
+        one={BATCH: batch},
     )
     return len(new)
 

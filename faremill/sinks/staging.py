@@ -7,8 +7,9 @@ that a partition had until now stay until the write after this one, so queries t
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
@@ -69,11 +70,27 @@ def _same(a: str, b: str) -> bool:
     return bare(a) == bare(b)
 
 
-def stage(df: DataFrame, table: str, by: Sequence[str], provider: str | None) -> str:
-    """Writes the rows below a new folder of the table, by partition, and returns the folder. The table doesn't change."""
-    folder = f"{_described(df.sparkSession, table)}/{_STAGE}{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(*by)
-    (writer.format(provider) if provider else writer).save(folder)
+def stage(df: DataFrame, table: str, by: Sequence[str], provider: str | None, one: Mapping[str, str] | None = None) -> str:
+    """Writes the rows below a new folder of the table, by partition, and returns the folder. The table doesn't change.
+
+    A partitioned write sorts every task's rows by partition, and spills where they outgrow its memory. Rows that are all of the partition `one` names, by
+    column, need no sort: they go straight into its folder, which isn't there without rows, as in the other case.
+    """
+    spark = df.sparkSession
+    folder = f"{_described(spark, table)}/{_STAGE}{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(*by) if one is None else df.drop(*by).write
+    writer = writer.format(provider) if provider else writer
+    if one is None:
+        writer.save(folder)
+        return folder
+    if any(not re.fullmatch(r"[A-Za-z0-9-]+", value) for value in one.values()):
+        raise ValueError(f"values that a folder can't be named by as they are: {one}")
+    leaf = "/".join([folder, *(f"{c}={one[c]}" for c in by)])
+    writer.save(leaf)
+    reader = spark.read.schema(df.drop(*by).schema)
+    if (reader.format(provider) if provider else reader).load(leaf).isEmpty():
+        path, fs = _path(spark, leaf)
+        fs.delete(path, True)
     return folder
 
 

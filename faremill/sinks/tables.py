@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +53,7 @@ def write_table(
     rebalance: bool = False,
     replace_partitions: bool = False,
     emptied: Column | None = None,
+    one: Mapping[str, str] | None = None,
 ) -> None:
     """Save `df` as a managed table with table and column descriptions.
 
@@ -64,7 +65,7 @@ def write_table(
     A partitioned table of files is overwritten by staging: new files are written beside the old ones and partitions switched to them
     once all are there (see `faremill.sinks.staging`), so a write that fails leaves the table readable as it was.
     `replace_partitions` leaves alone the partitions that `df` has no rows for, but for those under `emptied`, a condition on the
-    partition columns, which are dropped. A table without partitions, or whose columns or types change, is overwritten by
+    partition columns, which are dropped. `one` names the partition by column where all rows are of one, which saves a sort. A table without partitions, or whose columns or types change, is overwritten by
     Spark, which is not atomic.
     """
     spark = df.sparkSession
@@ -77,7 +78,7 @@ def write_table(
         # An empty table first, so that a broken-off write leaves one that can be written again.
         _create(out.limit(0), table, "overwrite", partition_by, provider)
     if staged:
-        folder = stage(_aligned(out, table), table, partition_by, provider)
+        folder = stage(_aligned(out, table), table, partition_by, provider, one)
         switch(spark, table, partition_by, folder, emptied if replace_partitions else F.lit(True))
     elif exists and replace_partitions:
         _aligned(out, table).writeTo(table).overwritePartitions()
