@@ -52,6 +52,15 @@ def staged_columns(spark, root):
 
 
 
+def test_green_trips_and_events_land_without_a_sort(spark, tables, parted, tmp_path):
+    kinds._land_green(spark, tables, f"{tmp_path}/green")
+    kinds._land_events(spark, tables, f"{tmp_path}/events")
+    assert parted == []
+    assert staged_columns(spark, f"{tmp_path}/green") == RAW | {"o_orderdate", "batch"}
+    counts = [spark.read.parquet(f"{tmp_path}/green/batch-1/green/green_tripdata_1996-0{n}.parquet").count() for n in range(1, 6)]
+    assert sum(counts) == 840 and min(counts) > 0
+    assert spark.read.parquet(f"{tmp_path}/events/batch-2/events/events_tripdata_2024-01.parquet").count() == 4
+
 
 def test_a_batch_of_bronze_is_written_without_a_sort(spark, tables, parted, tmp_path):
     schema = f"s_{tmp_path.name}"

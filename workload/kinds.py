@@ -30,7 +30,7 @@ from faremill.contracts import (
 )
 from faremill.sinks.ingest import BATCH
 from faremill.sources.landing import LandingZone
-from workload.trips import INGESTED, LINEITEM, ORDERS, RESENT, TRIP_COLUMNS, scratch
+from workload.trips import INGESTED, LINEITEM, ORDERS, RESENT, TRIP_COLUMNS, landed_as, scratch, staged_once
 
 # Column -> expression, in text that reads the same in Spark SQL and DuckDB.
 _PICKUP = "o_orderdate + INTERVAL '1' HOUR * (l_suppkey % 24)"
@@ -89,44 +89,47 @@ EVENT_WINDOW = PeriodRange.of([2024], [1])
 EVENT_ORDER = ("etl_ingestion_timestamp", "event_id")
 
 
-def _twice(df: DataFrame, again: str, columns: dict[str, str], amount: str, ids: tuple[str, ...] = ()) -> DataFrame:
-    copies = df.selectExpr("*", f"explode(CASE WHEN {again} THEN array(1, 2) ELSE array(1) END) AS batch")
+def _twice(df: DataFrame, again: str) -> DataFrame:
+    """Every row with the batch that sends it, some rows in both."""
+    return df.selectExpr("*", f"explode(CASE WHEN {again} THEN array(1, 2) ELSE array(1) END) AS batch")
+
+
+def _sent(copies: DataFrame, columns: dict[str, str], amount: str, ids: tuple[str, ...] = ()) -> DataFrame:
+    """The rows as records; the second batch has the amount negated."""
     sent = {**columns, amount: f"CASE WHEN batch = 2 THEN -({columns[amount]}) ELSE {columns[amount]} END"}
     return copies.selectExpr("batch", *[f"{text} AS {name}" for name, text in sent.items()], *ids)
 
 
-def green_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line as a green trip, some of them sent twice."""
+def green_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with its order's date, some of them sent twice."""
     lines = spark.read.schema(LINEITEM).parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet")
-    return _twice(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), RESENT, GREEN_COLUMNS, "total_amount", GREEN_IDS)
+    return _twice(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey"), RESENT)
 
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event, some of them sent twice."""
-    return _twice(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"), EVENTS_RESENT, EVENT_COLUMNS, "value")
+    return _sent(_twice(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"), EVENTS_RESENT), EVENT_COLUMNS, "value")
 
 
 def _land_green(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Months 2 to 5 land as they are, month 1 with the trip type as a fraction's type; what isn't of the window lands in month 1."""
     ours = GREEN_WINDOW.contains("lpep_pickup_datetime")
     month = F.when(ours, F.month("lpep_pickup_datetime")).otherwise(F.lit(1))
-    green_records(spark, sf_dir).withColumn("landing", month).write.partitionBy("batch", "landing").parquet(f"{root}/staged")
-    staged = spark.read.parquet(f"{root}/staged")
+    staged = _sent(staged_once(green_lines(spark, sf_dir), f"{root}/staged"), GREEN_COLUMNS, "total_amount", GREEN_IDS)
     for n in GREEN_MONTHS:
-        part = staged.where((F.col("batch") == 1) & (F.col("landing") == n)).drop("batch", "landing")
+        part = staged.where((F.col("batch") == 1) & (month == n)).drop("batch")
         part = part.withColumn("trip_type", F.col("trip_type").cast("double")) if n == 1 else part
-        part.write.parquet(f"{root}/batch-1/green/green_tripdata_1996-0{n}.parquet")
-    staged.where("batch = 2").drop("batch", "landing").write.parquet(f"{root}/batch-2/green/green_tripdata_1996-05.parquet")
+        landed_as(part, f"{root}/batch-1/green/green_tripdata_1996-0{n}.parquet")
+    landed_as(staged.where("batch = 2").drop("batch"), f"{root}/batch-2/green/green_tripdata_1996-05.parquet")
 
 
 def _land_events(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """One month in each batch; the second has the items as a narrower type."""
-    event_records(spark, sf_dir).write.partitionBy("batch").parquet(f"{root}/staged")
-    staged = spark.read.parquet(f"{root}/staged")
+    """One month in each batch; the second has the items as a narrower type. Both are made of the table itself, with no shuffle or sort."""
+    sent = event_records(spark, sf_dir)
     path = f"{root}/batch-{{}}/events/events_tripdata_2024-01.parquet".format
-    staged.where("batch = 1").drop("batch").write.parquet(path(1))
-    staged.where("batch = 2").drop("batch").withColumn("items", F.col("items").cast("int")).write.parquet(path(2))
+    landed_as(sent.where("batch = 1").drop("batch"), path(1))
+    landed_as(sent.where("batch = 2").drop("batch").withColumn("items", F.col("items").cast("int")), path(2))
 
 
 # Kind -> how it lands, years, months, window, order of survivors.
