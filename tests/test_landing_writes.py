@@ -51,6 +51,12 @@ def staged_columns(spark, root):
 
 
 
+def test_the_faulty_zone_lands_without_a_sort(spark, tables, parted):
+    root = trips.land_faulty(spark, tables)
+    assert parted == []
+    assert staged_columns(spark, root) == RAW | {"o_orderdate", "batch"}
+    assert [spark.read.parquet(p.path).count() for p in trips.faulty_zone(root).expected()] == [480, 12, 360]
+
 
 def test_green_trips_and_events_land_without_a_sort(spark, tables, parted, tmp_path):
     kinds._land_green(spark, tables, f"{tmp_path}/green")
