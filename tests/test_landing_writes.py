@@ -50,6 +50,14 @@ def staged_columns(spark, root):
     return set(spark.read.parquet(f"{root}/staged").columns)
 
 
+def test_the_trips_land_without_a_sort_from_rows_as_wide_as_the_tables(spark, tables, parted):
+    root = trips.land(spark, tables)
+    assert parted == []
+    assert staged_columns(spark, root) == RAW | {"o_orderdate", "batch"}
+    landed = [spark.read.parquet(p.path).count() for p in trips.landing_zone(root).expected()[:5]]
+    assert sum(landed) == 840 and min(landed) > 0
+    assert spark.read.parquet(trips.resent_zone(root).expected()[0].path).count() == 12
+
 
 def test_the_faulty_zone_lands_without_a_sort(spark, tables, parted):
     root = trips.land_faulty(spark, tables)
