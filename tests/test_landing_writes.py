@@ -1,6 +1,7 @@
 """Landing zones and bronze are written without sorts, and what is staged for them is no wider than the tables."""
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
@@ -76,6 +77,31 @@ def test_green_trips_and_events_land_without_a_sort(spark, tables, parted, tmp_p
     assert spark.read.parquet(f"{tmp_path}/events/batch-2/events/events_tripdata_2024-01.parquet").count() == 4
 
 
+@pytest.mark.parametrize("land", [trips.land, trips.land_faulty, lambda spark, tables: kinds._land_green(spark, tables, f"{tables}/green")], ids=["trips", "faulty", "green"])
+def test_tables_too_big_to_broadcast_land_without_a_sort(spark, tables, monkeypatch, land):
+    """Orders of a key twice, and of none, as the tables may have them."""
+    spark.sql("SELECT 3L AS o_orderkey, TIMESTAMP_NTZ '1996-03-01 00:00:00' AS o_orderdate UNION ALL SELECT NULL, NULL").write.mode("append").parquet(f"{tables}/orders.parquet")
+    written, plain = [], trips.landed_as
+
+    def landed_as(df, path, mode="error"):
+        written.append((plan_of(df), path))
+        plain(df, path, mode)
+
+    monkeypatch.setattr(trips, "landed_as", landed_as)
+    monkeypatch.setattr(kinds, "landed_as", landed_as)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        land(spark, tables)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [path for plan, path in written if "Sort" in plan] == []
+    staged, path = written[0]
+    assert staged.count("Exchange hashpartitioning") == 2
+    # 840 lines and 12 resent; the 7 lines of order 3 meet two orders.
+    assert spark.read.parquet(path).where("batch = 1").count() == 847
+
+
 def test_a_batch_of_bronze_is_written_without_a_sort(spark, tables, parted, tmp_path):
     schema = f"s_{tmp_path.name}"
     cfg = LakehouseConfig(trips.landing_zone(trips.land(spark, tables)), schema=schema, schema_location=f"{tmp_path}/lake")
